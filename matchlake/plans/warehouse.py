@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,18 +29,26 @@ class Warehouse:
         self.spark, self.silver = spark, Silver(spark, sf_dir)
         self.root = workspace(spark)
         self._stored: set[str] = set()
+        self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
     def get(self, name: str) -> DataFrame:
         if name in STATIC:
             return self.plan(name)
         path = f"{self.root}/{name}"
-        with _LOCK:
+        with self._locks[name]:
             if name not in self._stored:
                 write_table(self.plan(name), path, PARTITIONS.get(name, ()))
                 self._stored.add(name)
         return self.spark.read.parquet(path)
 
+    def prepare(self, *names: str) -> None:
+        """Store several independent tables; their jobs run side by side."""
+        missing = [n for n in names if n not in STATIC and n not in self._stored]
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(self.get, missing))
+
     def dims(self) -> dict[str, DataFrame]:
+        self.prepare(*DIMS)
         return {name: self.get(name) for name in DIMS}
 
     def plan(self, name: str) -> DataFrame:
@@ -63,7 +73,9 @@ class Warehouse:
             case "match_sheet":
                 return facts.match_sheet(s.fixtures(), s.stages(), s.participants(), s.scores(), s.score_corrections(),
                                          s.statistics(), s.match_referees(), s.coaches(), s.formations())
-            case "fct_team_matches": return facts.fct_team_matches(self.get("match_sheet"), self.dims())
+            case "fct_team_matches":
+                self.prepare("match_sheet", *DIMS)
+                return facts.fct_team_matches(self.get("match_sheet"), self.dims())
             case "fct_player_appearances":
                 return facts.fct_player_appearances(self.get("match_sheet"), s.lineups(), s.lineup_details(), s.events(),
                                                     s.players(), self.dims())

@@ -1 +1,12 @@
+"""Registered queries and their expected results."""
 
+from importlib import import_module
+
+MODULES = ("gold_queries", "analytics_queries")
+
+
+def load():
+    from . import registry
+    for name in MODULES:
+        import_module(f"{__name__}.{name}")
+    return registry.QUERIES, registry.ORACLE
