@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -76,12 +77,25 @@ def with_sentinels(dim: DataFrame, sk: str, rows: Sequence[Mapping], keep_existi
     return dim.filter(~F.col(sk).isin(*[r[sk] for r in rows])).unionByName(extra)
 
 
+def resolve_fks(fact: DataFrame, lookups: Sequence[tuple], unknown: int = -1) -> DataFrame:
+    """Replace natural keys by surrogate keys; unmatched or NULL keys point at the unknown member.
+
+    ``lookups`` holds (dim, fact_key, dim_key, sk, out). Whether a dimension is broadcast or shuffled is left to Spark,
+    which knows its size.
+    """
+    keys = []
+    for i, (dim, fact_key, dim_key, sk, out) in enumerate(lookups):
+        named = dim.filter(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias(f"_k{i}"), F.col(sk).alias(f"_s{i}"))
+        fact = fact.join(named, F.col(fact_key) == F.col(f"_k{i}"), "left")
+        keys.append(F.coalesce(f"_s{i}", F.lit(unknown)).alias(out))
+    taken = {out for *_, out in lookups}
+    kept = [c for c in fact.columns if c not in taken and not re.fullmatch(r"_[ks]\d+", c)]
+    return fact.select(*kept, *keys)
+
+
 def resolve_fk(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str, out: str | None = None,
                unknown: int = -1) -> DataFrame:
-    """Replace a natural key by its surrogate key; unmatched or NULL keys point at the unknown member."""
-    lookup = dim.filter(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_dim_key"), F.col(sk).alias("_dim_sk"))
-    joined = fact.join(lookup, F.col(fact_key) == F.col("_dim_key"), "left")
-    return joined.withColumn(out or sk, F.coalesce("_dim_sk", F.lit(unknown))).drop("_dim_key", "_dim_sk")
+    return resolve_fks(fact, [(dim, fact_key, dim_key, sk, out or sk)], unknown)
 
 
 def with_fallback(master: DataFrame, fallback: DataFrame, key: str) -> DataFrame:

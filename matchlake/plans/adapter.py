@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import codes
 from ..operators.literals import values
+from ..sources.storage import spread
 
 TEAMS = 12
 UNKNOWN_TEAM = 99
@@ -77,9 +78,12 @@ class Silver:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     # matches -----------------------------------------------------------------------------------------------------
 
@@ -211,7 +215,7 @@ class Silver:
                  f"WHEN l_orderkey % 700 = 11 AND x.i = 0 THEN -1.0D ELSE CAST({rest} % x.m AS DOUBLE) END")
         fixed = (f"named_struct('c', {codes.MINUTES_STAT}, 'i', -1, 'm', 1), "
                  f"named_struct('c', {codes.RATING_STAT}, 'i', -1, 'm', 1)")
-        return (self._lines().selectExpr("*", f"explode(array({fixed}, {entries})) AS x")
+        return (spread(self._lines()).selectExpr("*", f"explode(array({fixed}, {entries})) AS x")
                 .filter("x.i < 0 OR (l_orderkey + l_partkey + x.i) % 4 = 0")
                 .selectExpr("l_orderkey AS fixture_id", "l_partkey AS player_id", "x.c AS type_id", f"{value} AS value"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
 from ..functions.columns import int_from_double, is_finished, local_time
-from ..operators.keys import latest_per_key, resolve_fk
+from ..operators.keys import latest_per_key, resolve_fks
 from ..operators.shape import stack_by_key, two_sided
 
 SIDE_COLUMNS = ("team_id", "goals", "goals_ht", "goals_fixed", "corner_kicks", "ball_possession_pct", "red_cards",
@@ -55,23 +55,23 @@ def match_sheet(fixtures: DataFrame, stages: DataFrame, participants: DataFrame,
 _TEAM_CODE = {name: code for code, name in codes.TEAM_STATS.items()}
 
 
-def _clock_keys(df: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """date_sk from the UTC day, time_sk from the local hour."""
-    df = df.withColumn("_day", F.col("starting_at").cast("date"))
-    df = resolve_fk(df, dim_date, "_day", "date", "date_sk").drop("_day")
-    return df.withColumn("time_sk", F.coalesce(F.hour(local_time(F.col("starting_at"))), F.lit(-1)))
+def _lookups(dims: dict[str, DataFrame]) -> list[tuple]:
+    return [
+        (dims["dim_date"], "_day", "date", "date_sk", "date_sk"),
+        (dims["dim_match"], "fixture_id", "match_id", "match_sk", "match_sk"),
+        (dims["dim_team"], "team_id", "team_id", "team_sk", "team_sk"),
+        (dims["dim_team"], "opponent_team_id", "team_id", "team_sk", "opponent_team_sk"),
+        (dims["dim_league"], "league_id", "league_id", "league_sk", "league_sk"),
+        (dims["dim_stadium"], "venue_id", "stadium_id", "stadium_sk", "stadium_sk"),
+        (dims["dim_referee"], "referee_id", "referee_id", "referee_sk", "referee_sk"),
+        (dims["dim_coach"], "coach_id", "coach_id", "coach_sk", "coach_sk"),
+        (dims["dim_formation"], "formation", "formation", "formation_sk", "formation_sk")]
 
 
-def _match_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    df = _clock_keys(df, dims["dim_date"])
-    df = resolve_fk(df, dims["dim_match"], "fixture_id", "match_id", "match_sk")
-    df = resolve_fk(df, dims["dim_team"], "team_id", "team_id", "team_sk")
-    df = resolve_fk(df, dims["dim_team"], "opponent_team_id", "team_id", "team_sk", out="opponent_team_sk")
-    df = resolve_fk(df, dims["dim_league"], "league_id", "league_id", "league_sk")
-    df = resolve_fk(df, dims["dim_stadium"], "venue_id", "stadium_id", "stadium_sk")
-    df = resolve_fk(df, dims["dim_referee"], "referee_id", "referee_id", "referee_sk")
-    df = resolve_fk(df, dims["dim_coach"], "coach_id", "coach_id", "coach_sk")
-    return resolve_fk(df, dims["dim_formation"], "formation", "formation", "formation_sk")
+def _clock(ts: str = "starting_at") -> list[Column]:
+    """Day from the UTC timestamp, hour key from the local one."""
+    return [F.col(ts).cast("date").alias("_day"),
+            F.coalesce(F.hour(local_time(F.col(ts))), F.lit(-1)).alias("time_sk")]
 
 
 def outcome(own: Column, other: Column) -> Column:
@@ -109,8 +109,8 @@ def fct_team_matches(sheet: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     rows = rows.withColumn("match_result_sk", result)
     counts = done & (F.col("stage_type") == codes.GROUP_STAGE)
     points = F.when(F.col("match_result_sk") == 1, 3).when(F.col("match_result_sk") == 2, 1).otherwise(0)
-    rows = rows.withColumn("points_earned", F.when(counts, points))
-    return _match_keys(rows, dims).select(*TEAM_FACT_COLUMNS)
+    rows = rows.select("*", F.when(counts, points).alias("points_earned"), *_clock())
+    return resolve_fks(rows, _lookups(dims)).select(*TEAM_FACT_COLUMNS)
 
 
 def appearances(lineups: DataFrame, details: DataFrame) -> DataFrame:
@@ -119,25 +119,21 @@ def appearances(lineups: DataFrame, details: DataFrame) -> DataFrame:
     Starters always count, others only with minutes. A player listed twice keeps the entry with the lowest type.
     """
     entry = F.struct("type_id", "team_id", "position_id", "detailed_position_name")
-    parts = [
-        lineups.filter("player_id IS NOT NULL AND team_id IS NOT NULL").select(
-            "fixture_id", "player_id", entry.alias("entry")),
-        details.filter("player_id IS NOT NULL").select(
-            "fixture_id", "player_id", F.col("type_id").alias("stat"), "value", F.lit(True).alias("is_stat"))]
-    stat = F.col("stat")
-    folds = {
-        "any_entry": F.min("entry"),
-        "starter_entry": F.min(F.when(F.col("entry.type_id") == codes.STARTER_TYPE, F.col("entry"))),
-        "minutes_played": F.max(F.when(stat == codes.MINUTES_STAT, int_from_double(F.col("value")))),
-        "rating": F.max(F.when(stat == codes.RATING_STAT, F.col("value"))),
-        **{name: F.max(F.when(stat == code, F.col("value")).when(F.col("is_stat"), F.lit(0.0)))
-           for code, name in codes.PLAYER_STATS.items()}}
-    folded = stack_by_key(parts, ["fixture_id", "player_id"], folds)
-    minutes = F.coalesce("minutes_played", F.lit(0))
-    chosen = F.when(minutes > 0, F.col("any_entry")).otherwise(F.col("starter_entry"))
-    return (folded.withColumn("entry", chosen).filter("entry IS NOT NULL")
-            .select("fixture_id", "player_id", "entry.*", minutes.alias("minutes_played"), "rating",
-                    *[F.coalesce(int_from_double(F.col(n)), F.lit(0)).alias(n) for n in codes.PLAYER_STATS.values()]))
+    listed = lineups.filter("player_id IS NOT NULL AND team_id IS NOT NULL").groupBy("fixture_id", "player_id").agg(
+        F.min(entry).alias("any_entry"),
+        F.min(F.when(F.col("type_id") == codes.STARTER_TYPE, entry)).alias("starter_entry"))
+    # numeric folds only: they run in a hash aggregate, and rows of one player mostly meet in one task beforehand
+    stats = details.filter("player_id IS NOT NULL").groupBy("fixture_id", "player_id").agg(
+        F.expr(f"max(CASE WHEN type_id = {codes.MINUTES_STAT} THEN CAST(rint(value) AS INT) END)").alias("minutes"),
+        F.expr(f"max(CASE WHEN type_id = {codes.RATING_STAT} THEN value END)").alias("rating"),
+        *[F.expr(f"max(CASE WHEN type_id = {code} THEN value ELSE 0D END)").alias(name)
+          for code, name in codes.PLAYER_STATS.items()])
+    both = listed.join(stats, ["fixture_id", "player_id"], "left").selectExpr(
+        "*", "coalesce(minutes, 0) AS minutes_played",
+        "CASE WHEN coalesce(minutes, 0) > 0 THEN any_entry ELSE starter_entry END AS entry")
+    return both.filter("entry IS NOT NULL").selectExpr(
+        "fixture_id", "player_id", "entry.*", "minutes_played", "rating",
+        *[f"coalesce(CAST(rint({n}) AS INT), 0) AS {n}" for n in codes.PLAYER_STATS.values()])
 
 
 def goals_against(events: DataFrame, sheet: DataFrame) -> DataFrame:
@@ -184,36 +180,39 @@ PLAYER_FACT_KEYS = (
     "referee_sk", "coach_sk", "formation_sk", "position_sk", "team_side_sk", "match_result_sk", "appearance_type_sk")
 
 
-def fct_player_appearances(sheet: DataFrame, lineups: DataFrame, details: DataFrame, events: DataFrame,
-                           players: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    finished = sheet.filter("is_finished")
-    shown = appearances(lineups, details).join(finished.select("fixture_id"), "fixture_id", "left_semi")
+def fct_player_appearances(sheet: DataFrame, shown: DataFrame, events: DataFrame, players: DataFrame,
+                           dims: dict[str, DataFrame]) -> DataFrame:
+    """``shown`` is the result of ``appearances``; it is read twice here, so callers store it first."""
+    finished = sheet.filter("is_finished").select("fixture_id", "league_id", "venue_id", "starting_at", "referee_id",
+                                                  "home", "away", *_clock())
+    shown = shown.join(finished.select("fixture_id"), "fixture_id", "left_semi")
     goals = keeper_goals(shown, events, sheet)
-    context = finished.select("fixture_id", "league_id", "venue_id", "starting_at", "referee_id", "home", "away")
     detail = latest_per_key(players.filter("id IS NOT NULL").select(
         F.col("id").alias("player_id"), F.col("detailed_position_name").alias("_listed_position"), "_ingested_at"),
         ["player_id"], ["_ingested_at", "_listed_position"]).drop("_ingested_at")
-    rows = (shown.join(context, "fixture_id").join(goals, ["fixture_id", "player_id"], "left")
+    rows = (shown.join(finished, "fixture_id").join(goals, ["fixture_id", "player_id"], "left")
             .join(detail, "player_id", "left"))
     # a team context exists only when both sides are known
-    paired = F.col("home").isNotNull() & F.col("away").isNotNull()
     at_home = F.col("team_id") == F.col("home.team_id")
     at_away = F.col("team_id") == F.col("away.team_id")
-    rows = rows.withColumn("own", F.when(at_home, F.col("home")).when(at_away, F.col("away")))
-    rows = rows.withColumn("other", F.when(paired & at_home, F.col("away")).when(paired & at_away, F.col("home")))
+    paired = F.col("home").isNotNull() & F.col("away").isNotNull()
+    own = F.when(at_home, F.col("home")).when(at_away, F.col("away"))
+    other = F.when(paired & at_home, F.col("away")).when(paired & at_away, F.col("home"))
+    rows = rows.select("*", own.alias("own"), other.alias("other"))
     keeper = F.col("position_id") == codes.KEEPER_POSITION
     nil = F.lit(0).cast("bigint")
-    rows = rows.withColumns({
-        "opponent_team_id": F.col("other.team_id"), "coach_id": F.col("own.coach_id"),
-        "formation": F.col("own.formation"),
-        "position_label": F.coalesce("detailed_position_name", "_listed_position"),
-        "team_side_sk": F.when(paired & at_home, 1).when(paired & at_away, 2).otherwise(-1),
-        "match_result_sk": F.when(F.col("other").isNull(), -1).otherwise(
-            outcome(F.coalesce("own.goals", nil), F.coalesce("other.goals", nil))),
-        "appearance_type_sk": F.when(F.col("type_id") == codes.STARTER_TYPE, 1).otherwise(2),
-        "goals_conceded": F.coalesce("keeper_goals", nil)})
-    rows = rows.withColumns({c: F.when(keeper, F.col(c)) for c in codes.KEEPER_STATS})
-    rows = _match_keys(rows.drop("home", "away", "own", "other"), dims)
-    rows = resolve_fk(rows, dims["dim_player"], "player_id", "player_id", "player_sk")
-    rows = resolve_fk(rows, dims["dim_position"], "position_label", "position_name", "position_sk")
-    return rows.select(*PLAYER_FACT_KEYS, "minutes_played", *codes.PLAYER_STATS.values(), "rating")
+    plain = [c for c in codes.PLAYER_STATS.values() if c not in codes.KEEPER_STATS]
+    rows = rows.select(
+        "fixture_id", "player_id", "team_id", "league_id", "venue_id", "referee_id", "_day", "time_sk",
+        F.col("other.team_id").alias("opponent_team_id"), F.col("own.coach_id").alias("coach_id"),
+        F.col("own.formation").alias("formation"),
+        F.coalesce("detailed_position_name", "_listed_position").alias("position_label"),
+        F.when(paired & at_home, 1).when(paired & at_away, 2).otherwise(-1).alias("team_side_sk"),
+        F.when(F.col("other").isNull(), -1).otherwise(
+            outcome(F.coalesce("own.goals", nil), F.coalesce("other.goals", nil))).alias("match_result_sk"),
+        F.when(F.col("type_id") == codes.STARTER_TYPE, 1).otherwise(2).alias("appearance_type_sk"), "minutes_played",
+        *plain, F.when(keeper, F.coalesce("keeper_goals", nil)).alias("goals_conceded"),
+        *[F.when(keeper, F.col(c)).alias(c) for c in codes.KEEPER_STATS[1:]], "rating")
+    lookups = [*_lookups(dims), (dims["dim_player"], "player_id", "player_id", "player_sk", "player_sk"),
+               (dims["dim_position"], "position_label", "position_name", "position_sk", "position_sk")]
+    return resolve_fks(rows, lookups).select(*PLAYER_FACT_KEYS, "minutes_played", *codes.PLAYER_STATS.values(), "rating")

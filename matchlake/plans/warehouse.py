@@ -28,7 +28,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.silver = spark, Silver(spark, sf_dir)
         self.root = workspace(spark)
-        self._stored: set[str] = set()
+        self._stored: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
 
     def get(self, name: str) -> DataFrame:
@@ -38,8 +38,8 @@ class Warehouse:
         with self._locks[name]:
             if name not in self._stored:
                 write_table(self.plan(name), path, PARTITIONS.get(name, ()))
-                self._stored.add(name)
-        return self.spark.read.parquet(path)
+                self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
 
     def prepare(self, *names: str) -> None:
         """Store several independent tables; their jobs run side by side."""
@@ -77,9 +77,12 @@ class Warehouse:
                 self.prepare("match_sheet", *DIMS)
                 return facts.fct_team_matches(self.get("match_sheet"), self.dims())
             case "fct_player_appearances":
-                return facts.fct_player_appearances(self.get("match_sheet"), s.lineups(), s.lineup_details(), s.events(),
+                self.prepare("match_sheet", "appearances", *DIMS)
+                return facts.fct_player_appearances(self.get("match_sheet"), self.get("appearances"), s.events(),
                                                     s.players(), self.dims())
+            case "appearances": return facts.appearances(s.lineups(), s.lineup_details())
             case "mart_match_facts":
+                self.prepare("fct_team_matches", "fct_player_appearances")
                 return marts.mart_match_facts(self.get("fct_team_matches"), self.get("fct_player_appearances"),
                                               self.dims())
             case "mart_player_facts": return marts.mart_player_facts(self.get("fct_player_appearances"), self.dims())

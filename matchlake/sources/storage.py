@@ -16,6 +16,11 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    try:
+        # call-site capture on every column expression costs seconds on wide plans
+        spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
+    except Exception:  # a fixed setting in this Spark build
+        pass
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,6 +38,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than cores, ahead of a step that multiplies them.
+
+    A table of any size has more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def workspace(spark: SparkSession) -> str:
     """A fresh folder inside the shared folder."""
     return f"{shared_folder(spark)}/matchlake-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
