@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("gold_queries", "analytics_queries", "document_queries")
+MODULES = ("gold_queries", "analytics_queries", "document_queries", "operator_queries")
 
 
 def load():
