@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("gold_queries", "analytics_queries", "document_queries", "operator_queries")
+MODULES = ("gold_queries", "analytics_queries", "document_queries", "operator_queries", "quality_queries")
 
 
 def load():

@@ -106,7 +106,7 @@ def src06(spark, sf):
 
 @query("src07_seasons", """
 SELECT c_custkey AS league_id, c_custkey * 10 + i AS id, y || '/' || (y + 1) AS name, make_date(y, 7, 1) AS starting_at,
-  make_date(y + 1, 5, 31) AS ending_at, CASE WHEN c_nationkey < 12 THEN i = 2 ELSE i = 3 END AS current
+  make_date(y + 1, 5, 31) AS ending_at, CASE WHEN c_nationkey < 12 AND c_nationkey % 5 > 0 THEN i = 2 ELSE i = 3 END AS current
 FROM (SELECT *, CAST(2007 + c_nationkey % 5 + i AS INTEGER) AS y FROM customer, range(4) r(i)) WHERE y >= 2010
 """, dates=["starting_at", "ending_at"])
 def src07(spark, sf):
@@ -219,10 +219,11 @@ def pf02(spark, sf):
 
 
 @query("pf03_not_in_subquery", """
-SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)""")
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 300000)""")
 def pf03(spark, sf):
     from ..operators.quality import missing_in
-    return missing_in(table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey").select("c_custkey")
+    return missing_in(table(spark, sf, "customer"), table(spark, sf, "orders").filter("o_totalprice > 300000"), "c_custkey",
+                      "o_custkey").select("c_custkey")
 
 
 @query("pf04_between", "SELECT count(*) AS n FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND l_discount BETWEEN 0.02 AND 0.05")
@@ -406,9 +407,9 @@ def j11(spark, sf):
     return warehouse(spark, sf).silver.match_referees().select("fixture_id", "referee_id", "type_id")
 
 
-@query("j12_anti_join", "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')")
+@query("j12_anti_join", "SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)")
 def j12(spark, sf):
-    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
+    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R' AND l_quantity > 40").select(F.col("l_partkey").alias("p_partkey"))
     return table(spark, sf, "part").join(returned, "p_partkey", "left_anti").select("p_partkey")
 
 
@@ -652,7 +653,7 @@ def t05(spark, sf):
     return ranking.top_n(count_by(table(spark, sf, "orders"), "o_custkey"), 3, [F.col("n").desc(), F.col("o_custkey")], "rn")
 
 
-@query("t06_nulls_last", f"SELECT l_partkey, {EXPR['rating']} AS rating FROM lineitem ORDER BY rating DESC NULLS LAST, l_partkey LIMIT 5")
+@query("t06_nulls_last", f"SELECT l_partkey, CAST({EXPR['rating']} AS DOUBLE) AS rating FROM lineitem ORDER BY rating DESC NULLS LAST, l_partkey LIMIT 5")
 def t06(spark, sf):
     rows = table(spark, sf, "lineitem").selectExpr("l_partkey", f"CAST({EXPR['rating']} AS DOUBLE) AS rating")
     return ranking.top_n(rows, 5, [F.col("rating").desc_nulls_last(), F.col("l_partkey")])
