@@ -114,10 +114,17 @@ def canonical_name(df: DataFrame, column: str, names: DataFrame) -> DataFrame:
 def derived_rounds(team_matches: DataFrame) -> DataFrame:
     """Round number of a match: the smaller of its two teams' running match numbers.
 
-    Matches are numbered inside (season, team); the frame is as long as one team's season.
+    A team's matches are counted per day, the days are summed up (at most a calendar of them), and only the matches of
+    one day are put in order.
     """
-    number = F.row_number().over(Window.partitionBy("season", "team_id").orderBy("kick_off", "fixture_id"))
-    return team_matches.withColumn("n", number).groupBy("fixture_id").agg(F.min("n").alias("round_number"))
+    team = ["season", "team_id"]
+    rows = team_matches.withColumn("_day", F.to_date("kick_off"))
+    days = rows.groupBy(*team, "_day").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*team).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = days.select(*team, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*team, "_day").orderBy("kick_off", "fixture_id"))
+    numbered = rows.withColumn("_in", inside).join(offsets, [*team, "_day"])
+    return numbered.groupBy("fixture_id").agg(F.min(F.col("_before") + F.col("_in")).cast("int").alias("round_number"))
 
 
 def result_code(status: Column, own: Column, other: Column) -> Column:

@@ -197,6 +197,11 @@ SELECT player_name, player_photo, team_name, round(v, 2) AS avg_rating, matches,
   row_number() OVER (ORDER BY v DESC, player_name, team_name) AS rn
 FROM (SELECT player_name, player_photo, team_name, avg(rating) AS v, {GAMES} AS matches {MP} AND rating > 0 GROUP BY ALL)
 WHERE matches >= 5 QUALIFY rn <= 3""")
+register("q30_top_rated_two_matches", mp(league.top_rated, SEASON, min_matches=2), f"""
+SELECT player_name, player_photo, team_name, round(v, 2) AS avg_rating, matches,
+  row_number() OVER (ORDER BY v DESC, player_name, team_name) AS rn
+FROM (SELECT player_name, player_photo, team_name, avg(rating) AS v, {GAMES} AS matches {MP} AND rating > 0 GROUP BY ALL)
+WHERE matches >= 2 QUALIFY rn <= 3""")
 register("q31_current_standings", mm(league.current_standings, SEASON), f"""
 SELECT team_name, team_short_name, gp AS mp, pts, gd, gf, standings_type AS round_group
 FROM (SELECT team_name, team_short_name, team_logo, standings_type, {TABLE} {MM} GROUP BY team_name, team_short_name, team_logo, standings_type)""")
@@ -289,6 +294,7 @@ SELECT player_name, player_photo, player_position, {isum('goals_scored')} AS goa
   {isum('fouls_drawn')} AS fouls_drawn, {isum('minutes_played')} AS minutes
 {MP} AND team_name = '{TEAM}' GROUP BY player_name, player_photo, player_position HAVING {GAMES} >= 3"""
 register("q48_squad_contributors", mp(team.squad, SEASON, TEAM), _SQUAD)
+register("q48_squad_two_matches", mp(team.squad, SEASON, TEAM, 2), _SQUAD.replace(">= 3", ">= 2"))
 for _kind, _metrics in team.METRIC_LISTS.items():
     _long = " UNION ALL ".join(f"SELECT player_name, player_photo, '{m}' AS value, '{lab}' AS label, CAST({m} AS DOUBLE) AS amount FROM sq"
                                for m, lab in _metrics)
