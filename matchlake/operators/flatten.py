@@ -19,7 +19,8 @@ class Model:
 
     ``fields`` and ``parent`` list ``name=path:type`` (``name:type`` when both agree). ``fields`` are read from the
     exploded element, or from the document when nothing is exploded; ``parent`` from the document. A path starting with
-    ``@`` names an envelope column. ``explode`` lists the array to unnest at each level.
+    ``@`` names an envelope column. ``explode`` lists the array to unnest at each level; ``middle`` lists fields of the outer
+    element when there are two levels.
     """
     doc: str
     key: tuple[str, ...]
@@ -27,6 +28,7 @@ class Model:
     parent: str = ""
     explode: tuple[str, ...] = ()
     required: str = ""
+    middle: str = ""
 
     def columns(self, part: str) -> list[tuple[str, str, str]]:
         out = []
@@ -54,8 +56,11 @@ def _tree(models: Sequence[Model]) -> dict:
         if model.required and not any(p.startswith(model.required) for _, p, _ in model.columns(model.fields)):
             root.setdefault(model.required, None)
         node = root
-        for step in model.explode:
+        for level, step in enumerate(model.explode):
             node = node.setdefault(step, [{}])[0]
+            if level == 0:
+                for _, path, _ in model.columns(model.middle):
+                    put(node, path)
         for _, path, _ in model.columns(model.fields):
             put(node, path)
     return root
@@ -90,10 +95,16 @@ def flatten_parsed(parsed: DataFrame, model: Model) -> DataFrame:
     pick = lambda path, base: F.col(path[1:]) if path.startswith("@") else F.col(f"{base}.{path}")
     read = lambda path, kind, base: pick(path, base) if path.startswith("@") else from_text(pick(path, base), kind)
     return df.select(*[read(path, kind, DOC).alias(name) for name, path, kind in model.columns(model.parent)],
+                     *[read(path, kind, "_e0").alias(name) for name, path, kind in model.columns(model.middle)],
                      *[read(path, kind, at).alias(name) for name, path, kind in model.columns(model.fields)],
                      "_ingested_at")
 
 
+def wrap_arrays(docs: DataFrame, name: str = "items") -> DataFrame:
+    """Documents that are a bare array become objects holding the array under ``name``."""
+    return docs.withColumn("raw_json", F.concat(F.lit(f'{{"{name}":'), "raw_json", F.lit("}")))
+
+
 def flatten(docs: DataFrame, model: Model) -> DataFrame:
     return flatten_parsed(parse_documents(docs, [model]), model)
 

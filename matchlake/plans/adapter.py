@@ -88,7 +88,7 @@ class Silver:
     # matches -----------------------------------------------------------------------------------------------------
 
     def _matches(self) -> DataFrame:
-        orders = self.table("orders").filter("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL")
+        orders = spread(self.table("orders").filter("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL"))
         return (orders.selectExpr("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                   *[f"{EXPR[c]} AS {c}" for c in ("season_id", "home_no", "away_no", "stage_no")])
                 .selectExpr("*", "home_no + 1 AS home_team",
@@ -192,7 +192,7 @@ class Silver:
     # players -----------------------------------------------------------------------------------------------------
 
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").filter("l_orderkey IS NOT NULL")
+        return spread(self.table("lineitem").filter("l_orderkey IS NOT NULL"))
 
     def _team_lines(self) -> DataFrame:
         teams = self._matches().select("o_orderkey", "home_team", "away_team", "starting_at")
@@ -215,7 +215,7 @@ class Silver:
                  f"WHEN l_orderkey % 700 = 11 AND x.i = 0 THEN -1.0D ELSE CAST({rest} % x.m AS DOUBLE) END")
         fixed = (f"named_struct('c', {codes.MINUTES_STAT}, 'i', -1, 'm', 1), "
                  f"named_struct('c', {codes.RATING_STAT}, 'i', -1, 'm', 1)")
-        return (spread(self._lines()).selectExpr("*", f"explode(array({fixed}, {entries})) AS x")
+        return (self._lines().selectExpr("*", f"explode(array({fixed}, {entries})) AS x")
                 .filter("x.i < 0 OR (l_orderkey + l_partkey + x.i) % 4 = 0")
                 .selectExpr("l_orderkey AS fixture_id", "l_partkey AS player_id", "x.c AS type_id", f"{value} AS value"))
 

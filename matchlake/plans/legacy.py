@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import codes
 from ..functions.columns import recent_date_key
+from ..operators.flatten import Model, flatten, wrap_arrays
 from ..operators.keys import latest_per_key
 from ..operators.shape import eav_pivot
 
@@ -150,3 +151,65 @@ def drop_parents(parents: DataFrame, details: Mapping[str, DataFrame], key: str,
     ids = parents.filter(gone).select(key).distinct()
     keep = lambda df: df.join(ids, key, "left_anti")
     return {"parents": keep(parents), **{name: keep(df) for name, df in details.items()}}
+
+
+# One-level tables of the older feed. Every document is a bare array; it is keyed by season and league, or by fixture.
+# Field names, paths and types are fixed values of that feed.
+_SEASON = "season=@season:int league_id=@league_id:int"
+_PERSON = ("player_id=player.id:int player_name=player.name:string firstname=player.firstname:string "
+           "lastname=player.lastname:string age=player.age:int birth_date=player.birth.date:string "
+           "birth_place=player.birth.place:string birth_country=player.birth.country:string "
+           "nationality=player.nationality:string height=player.height:string weight=player.weight:string "
+           "injured=player.injured:boolean photo=player.photo:string")
+_SEASON_STATS = (
+    "team_id=team.id:int team_name=team.name:string team_logo=team.logo:string appearances=games.appearences:int "
+    "lineups=games.lineups:int minutes=games.minutes:int shirt_number=games.number:int position=games.position:string "
+    "rating=games.rating:string captain=games.captain:boolean sub_in=substitutes.in:int sub_out=substitutes.out:int "
+    "sub_bench=substitutes.bench:int shots_total=shots.total:int shots_on=shots.on:int goals=goals.total:int "
+    "goals_conceded=goals.conceded:int assists=goals.assists:int saves=goals.saves:int passes_total=passes.total:int "
+    "passes_key=passes.key:int passes_accuracy=passes.accuracy:string tackles_total=tackles.total:int "
+    "tackles_blocks=tackles.blocks:int interceptions=tackles.interceptions:int duels_total=duels.total:int "
+    "duels_won=duels.won:int dribbles_attempts=dribbles.attempts:int dribbles_success=dribbles.success:int "
+    "dribbles_past=dribbles.past:int fouls_drawn=fouls.drawn:int fouls_committed=fouls.committed:int "
+    "yellow_cards=cards.yellow:int yellowred_cards=cards.yellowred:int red_cards=cards.red:int "
+    "penalty_won=penalty.won:int penalty_committed=penalty.committed:int penalty_scored=penalty.scored:int "
+    "penalty_missed=penalty.missed:int penalty_saved=penalty.saved:int")
+MODELS = {
+    "events": Model("fixture_events", ("fixture_id",), (
+        "time_elapsed=time.elapsed:int time_extra=time.extra:int team_id=team.id:int team_name=team.name:string "
+        "team_logo=team.logo:string player_id=player.id:int player_name=player.name:string assist_player_id=assist.id:int "
+        "assist_player_name=assist.name:string event_type=type:string event_detail=detail:string comments:string"),
+        "fixture_id=@fixture_id:bigint", ("items",)),
+    "predictions": Model("fixture_predictions", ("fixture_id",), (
+        "predicted_winner_id=predictions.winner.id:int predicted_winner_name=predictions.winner.name:string "
+        "predicted_winner_comment=predictions.winner.comment:string win_or_draw=predictions.win_or_draw:boolean "
+        "under_over=predictions.under_over:string predicted_goals_home=predictions.goals.home:string "
+        "predicted_goals_away=predictions.goals.away:string advice=predictions.advice:string "
+        "pct_home=predictions.percent.home:string pct_draw=predictions.percent.draw:string "
+        "pct_away=predictions.percent.away:string comparison:string h2h:string"), "fixture_id=@fixture_id:bigint", ("items",)),
+    "injuries": Model("injuries", ("season", "league_id", "player_id", "fixture_id"), (
+        "player_id=player.id:int player_name=player.name:string player_photo=player.photo:string injury_type=player.type:string "
+        "injury_reason=player.reason:string team_id=team.id:int team_name=team.name:string team_logo=team.logo:string "
+        "fixture_id=fixture.id:int fixture_timezone=fixture.timezone:string fixture_date=fixture.date:timestamp "
+        "fixture_timestamp=fixture.timestamp:bigint league_id_json=league.id:int season_json=league.season:int "
+        "league_name=league.name:string league_country=league.country:string league_logo=league.logo:string "
+        "league_flag=league.flag:string"), _SEASON, ("items",)),
+    "leagues": Model("leagues", ("league_id",), (
+        "league_id=league.id:int league_name=league.name:string league_type=league.type:string league_logo=league.logo:string "
+        "country_name=country.name:string country_code=country.code:string country_flag=country.flag:string seasons:string"),
+        explode=("items",)),
+    "teams": Model("teams", ("season", "league_id", "team_id"), (
+        "team_id=team.id:int team_name=team.name:string team_code=team.code:string team_country=team.country:string "
+        "team_founded=team.founded:int team_national=team.national:boolean team_logo=team.logo:string venue_id=venue.id:int "
+        "venue_name=venue.name:string venue_address=venue.address:string venue_city=venue.city:string "
+        "venue_capacity=venue.capacity:int venue_surface=venue.surface:string venue_image=venue.image:string"), _SEASON, ("items",)),
+    "venues": Model("venues", ("venue_id",), (
+        "venue_id=id:int venue_name=name:string address:string city:string country:string capacity:int surface:string "
+        "image:string"), "league_id=@league_id:int", ("items",)),
+    "players": Model("players", ("season", "league_id", "player_id"), _SEASON_STATS, _SEASON, ("items", "statistics"),
+                     middle=_PERSON),
+}
+
+
+def build(name: str, docs: DataFrame) -> DataFrame:
+    return flatten(wrap_arrays(docs), MODELS[name])

@@ -39,13 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than cores, ahead of a step that multiplies them.
+    """Deal out the rows of a scan that fills less than half of the cores, ahead of a step that multiplies them.
 
-    A table of any size has more splits than cores and is returned as it is.
+    A table of any size has more splits than cores and is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(cores) if 2 * splits <= cores else df
 
 
 def workspace(spark: SparkSession) -> str:

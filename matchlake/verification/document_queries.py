@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import codes
 from ..operators.flatten import Model
 from ..operators.literals import values
-from ..plans import silver
+from ..plans import legacy, silver
+from ..sources.storage import spread
 from .registry import register
 
 # model -> (table, key): every row of the table becomes one document
@@ -64,6 +65,7 @@ def _struct(leaves: list[tuple[str, str]]) -> str:
 def envelope(engine: str) -> dict[str, str]:
     return {"@id": "k", "@_season_id": "CAST(2010 + k % 10 AS INT)",
             "@_fixture_date": "DATE '2020-01-01' + CAST(k % 365 AS INT)",
+            "@season": "CAST(2010 + k % 10 AS INT)", "@league_id": "CAST(k % 7 AS INT)", "@fixture_id": "k",
             "_ingested_at": f"CAST(DATE '2024-01-01' + CAST(k % 30 AS INT) AS {TIME[engine]})"}
 
 
@@ -85,7 +87,8 @@ def document_sql(model: Model) -> str:
         return f"to_json({_struct(leaves + body)})"
     items = _struct(body)
     if len(model.explode) == 2:
-        items = f"named_struct('{model.explode[1]}', transform(sequence(0, {SUBITEMS - 1}), q -> {items}))"
+        outer = [(path, value(kind, keys[1], 200 + j, False, "spark")) for j, (_, path, kind) in enumerate(model.columns(model.middle))]
+        items = _struct([*outer, (model.explode[1], f"transform(sequence(0, {SUBITEMS - 1}), q -> {items})")])
     array = f"transform(sequence(0, {ITEMS - 1}), p -> {items})"
     # every 11th document has an empty array, every 13th none at all
     array = f"CASE WHEN k % 13 = 0 THEN NULL WHEN k % 11 = 0 THEN slice({array}, 1, 0) ELSE {array} END"
@@ -101,23 +104,28 @@ def standings_sql(model: Model) -> str:
     return f"to_json({_struct([*leaves, ('details', f'CASE WHEN k % 13 <> 0 THEN {details} END')])})"
 
 
-def documents(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    model = silver.MODELS[name]
+def documents(spark: SparkSession, sf: str, name: str, models=silver.MODELS) -> DataFrame:
+    model = models[name]
     table, key = SOURCES.get(name, DEFAULT_SOURCE)
     e = envelope("spark")
     body = standings_sql(model) if name == "standings" else document_sql(model)
-    rows = spark.read.parquet(f"{sf}/{table}.parquet").selectExpr(f"CAST({key} AS BIGINT) AS k").filter("k IS NOT NULL")
+    rows = spread(spark.read.parquet(f"{sf}/{table}.parquet").selectExpr(f"CAST({key} AS BIGINT) AS k").filter("k IS NOT NULL"))
+    if models is legacy.MODELS:
+        # bare arrays, keyed by season and league or by fixture
+        array = f"get_json_object({body}, '$.items')"
+        return rows.selectExpr(f"{array} AS raw_json", f"{e['@season']} AS season", f"{e['@league_id']} AS league_id",
+                               "k AS fixture_id", f"{e['_ingested_at']} AS _ingested_at")
     return rows.selectExpr("k AS id", f"{body} AS raw_json", f"{e['@_season_id']} AS _season_id",
                            f"{e['@_fixture_date']} AS _fixture_date", f"{e['_ingested_at']} AS _ingested_at")
 
 
-def expected(name: str) -> tuple[str, list[str], list[str]]:
-    model = silver.MODELS[name]
+def expected(name: str, models=silver.MODELS) -> tuple[str, list[str], list[str]]:
+    model = models[name]
     table, key = SOURCES.get(name, DEFAULT_SOURCE)
     e, cols, dates, times = envelope("sql"), [], [], ["_ingested_at"]
     depth = len(model.explode)
     element = ["k", "e", "d"][depth]
-    parts = [(model.parent, "k", 100), (model.fields, element, 0)]
+    parts = [(model.parent, "k", 100), (model.middle, "e", 200), (model.fields, element, 0)]
     for part, base, offset in parts if name != "standings" else parts[:1]:
         for j, (out, path, kind) in enumerate(model.columns(part)):
             expr = e[path] if path.startswith("@") else value(kind, base, offset + j, True, "sql")
@@ -142,7 +150,7 @@ def expected(name: str) -> tuple[str, list[str], list[str]]:
     elif model.required:
         j = [o for o, _, _ in model.columns(model.fields)].index(model.required)
         where = f"({value('int', 'k', j, True, 'sql')}) IS NOT NULL"
-    if name == "referees":
+    if name == "referees" and models is silver.MODELS:
         where = "k NOT IN (16, 17)"
     return f"SELECT {', '.join(cols)} FROM {source} WHERE {where}", dates, times
 
@@ -163,3 +171,8 @@ _ORDER = ["core_continents", "core_countries", "core_regions", "league", "season
 for _i, _name in enumerate(_ORDER, 1):
     _sql, _dates, _times = expected(_name)
     register(f"m{_i:02d}_{_name}", _run(_name), _sql, dates=_dates, times=_times)
+
+for _name in legacy.MODELS:
+    _sql, _dates, _times = expected(_name, legacy.MODELS)
+    register(f"ar15_{_name}", (lambda n: lambda spark, sf: legacy.build(n, documents(spark, sf, n, legacy.MODELS)))(_name), _sql,
+             dates=_dates, times=_times)

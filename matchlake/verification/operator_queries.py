@@ -271,7 +271,7 @@ def pf10(spark, sf):
 
 def _line_docs(spark, sf, where="true"):
     """Order lines packed into arrays of their own row: a document never gathers a group."""
-    return table(spark, sf, "lineitem").filter(where).selectExpr(
+    return storage.spread(table(spark, sf, "lineitem").filter(where)).selectExpr(
         "l_orderkey AS id", "to_json(named_struct('lines', array(named_struct('part', l_partkey, 'n', 0), "
         "named_struct('part', l_suppkey, 'n', 1)))) AS raw_json", "CAST(l_shipdate AS TIMESTAMP_NTZ) AS _ingested_at")
 

@@ -8,6 +8,7 @@ from ..operators import quality as Q, shape
 from ..plans import checks, legacy
 from ..plans.warehouse import DIMS, warehouse
 from ..sources import landing
+from ..sources.storage import spread
 from .document_queries import documents
 from .operator_queries import count_by, table
 from .registry import query, register
@@ -119,7 +120,7 @@ UNION ALL SELECT 'possession', 'error', count(*), CASE WHEN count(*) = 0 THEN 'p
 # archived patterns: documents are built per source row, then unnested ------------------------------------------------
 
 def _docs(spark, sf, name, select, body):
-    return table(spark, sf, name).selectExpr(select, f"to_json({body}) AS raw_json")
+    return spread(table(spark, sf, name)).selectExpr(select, f"to_json({body}) AS raw_json")
 
 
 @query("ar01_four_level_unnest", """
