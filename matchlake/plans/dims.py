@@ -76,7 +76,7 @@ SENTINELS = {
 
 
 def _merge(name: str, source: DataFrame, target: DataFrame | None, key: str, dense: bool = False) -> DataFrame:
-    sk = SENTINELS[name][0].keys().__iter__().__next__()
+    sk = next(iter(SENTINELS[name][0]))
     update = [c for c in source.columns if c != key]
     merged = merge_scd1(target, source, key, sk, update, dense)
     if name == "dim_formation" and target is not None:
