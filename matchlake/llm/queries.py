@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, toxicity
-from .common import fold
+from . import decontamination, language_id, sharding, toxicity, warc
+from .common import fold, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,24 @@ def op3_suffix_array_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leak.n_words", "leak.n_hit", "leak.n_items", "leak.items_sha256", "leak.contaminated")
 
 
+def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, as read back from the archives."""
+    path = shared_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near-equal bytes; equal texts are one group."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.xxhash64("text").alias("text_hash"))
+    return sharding.shard_by_bytes(docs, 40, weight="size", group=("text_hash",)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 OP3_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -75,5 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_bitmask": op1_language_bitmask,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_suffix_array_leaks": op3_suffix_array_leaks,
+    "op8_warc_roundtrip": op8_warc_roundtrip,
+    "op10_histogram_shards": op10_histogram_shards,
 }
 ORACLE: dict[str, str] = {"op3_suffix_array_leaks": OP3_SQL}
