@@ -48,24 +48,26 @@ def _start(level: int, p1: int, p2: int) -> tuple[int, int]:
 def splitters(keyed: DataFrame, weight: str, targets: list[int], near: float) -> list[tuple[int, int]]:
     """Keys with, within `near`, `targets` bytes below them. `keyed` has `_h1`, `_h2` and is read once a round.
 
-    The driver sees at most 2 ** BITS sums for each open splitter of a round.
+    The driver sees at most 2 ** BITS sums for each open splitter of a round; a single row is never looked into.
     """
     settled: dict[int, tuple[int, int]] = {}
-    open_: dict[tuple[int, int], tuple[int, list[int]]] = {(0, 0): (0, list(range(len(targets))))}
+    waiting: dict[int, dict[tuple[int, int], tuple[int, list[int]]]] = {0: {(0, 0): (0, list(range(len(targets))))}}
     spark = keyed.sparkSession
-    for level in range(1, ROUNDS + 1):
-        p1, p2 = _prefix(level)
-        q1, q2 = _prefix(level - 1)
-        rows = keyed.select(weight, p1, p2, q1.alias("q1"), q2.alias("q2"))
-        if level > 1:
-            wanted = spark.createDataFrame(list(open_), "q1 long, q2 long")
+    while waiting:
+        level = min(waiting)
+        parents = waiting.pop(level)
+        q1, q2 = _prefix(level)
+        p1, p2 = _prefix(level + 1)
+        rows = keyed.select(weight, p1, p2, q1.alias("q1"), q2.alias("q2"), "_h1")
+        if level:
+            wanted = spark.createDataFrame(list(parents), "q1 long, q2 long")
             rows = rows.join(F.broadcast(wanted), ["q1", "q2"], "left_semi")
-        counted = rows.groupBy("q1", "q2", "p1", "p2").agg(F.sum(weight).alias("w"), F.count("*").alias("n")).collect()
+        counted = rows.groupBy("q1", "q2", "p1", "p2").agg(
+            F.sum(weight).alias("w"), F.count("*").alias("n"), F.min("_h1").alias("a"), F.max("_h1").alias("b")).collect()
         inside: dict[tuple[int, int], list] = {}
         for r in counted:
-            inside.setdefault((r.q1, r.q2), []).append((r.p1, r.p2, r.w, r.n))
-        later: dict[tuple[int, int], tuple[int, list[int]]] = {}
-        for parent, (below, asked) in open_.items():
+            inside.setdefault((r.q1, r.q2), []).append((r.p1, r.p2, r.w, r.n, r.a, r.b))
+        for parent, (below, asked) in parents.items():
             cells = sorted(inside.get(parent, []))
             edges = [below]
             for cell in cells:
@@ -73,17 +75,16 @@ def splitters(keyed: DataFrame, weight: str, targets: list[int], near: float) ->
             for j in asked:
                 at = min(max(bisect_right(edges, targets[j]) - 1, 0), len(cells) - 1)
                 low, high = edges[at], edges[at + 1]
-                if level == ROUNDS or cells[at][3] == 1 or high - low <= near or targets[j] in (low, high):
-                    nearer_end = high - targets[j] < targets[j] - low
-                    if nearer_end:
-                        settled[j] = _start(level, *cells[at + 1][:2]) if at + 1 < len(cells) else _after(level, *cells[at][:2])
+                c1, c2, _, n, first, last = cells[at]
+                if level + 1 == ROUNDS or n == 1 or high - low <= near or targets[j] in (low, high):
+                    if high - targets[j] >= targets[j] - low:
+                        settled[j] = _start(level + 1, c1, c2)
                     else:
-                        settled[j] = _start(level, *cells[at][:2])
+                        settled[j] = _start(level + 1, *cells[at + 1][:2]) if at + 1 < len(cells) else _after(level + 1, c1, c2)
+                elif first == last and (level + 1) * BITS < 64:  # one group: go on with the hashes of its rows
+                    waiting.setdefault(64 // BITS, {}).setdefault((first, 0), (low, []))[1].append(j)
                 else:
-                    later.setdefault(cells[at][:2], (low, []))[1].append(j)
-        open_ = later
-        if not open_:
-            break
+                    waiting.setdefault(level + 1, {}).setdefault((c1, c2), (low, []))[1].append(j)
     return [settled[j] for j in range(len(targets))]
 
 
