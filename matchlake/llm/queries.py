@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, sharding, toxicity, warc
-from .common import fold, shared_folder
+from . import decontamination, language_id, packing, sharding, token_matrix, tokens, toxicity, warc
+from .common import fold, shared_folder, staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,18 @@ def op3_suffix_array_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leak.n_words", "leak.n_hit", "leak.n_items", "leak.items_sha256", "leak.contaminated")
 
 
+def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of 4096 ids as possible."""
+    cut = tokens.pieces(table(spark, sf_dir, "documents"))
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op9_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed id matrices of all documents, written, and every segment as cut out of them again."""
+    matrix = staged(token_matrix.pack_matrices(table(spark, sf_dir, "documents")))
+    return token_matrix.segments_of(matrix)
+
+
 def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, as read back from the archives."""
     path = shared_folder(spark)
@@ -93,7 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_bitmask": op1_language_bitmask,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_suffix_array_leaks": op3_suffix_array_leaks,
+    "op4_linear_grouping": op4_linear_grouping,
     "op8_warc_roundtrip": op8_warc_roundtrip,
+    "op9_token_matrix": op9_token_matrix,
     "op10_histogram_shards": op10_histogram_shards,
 }
 ORACLE: dict[str, str] = {"op3_suffix_array_leaks": OP3_SQL}
