@@ -28,8 +28,7 @@ def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learned from the labelled folds other than 0 of 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = fold("doc_id", 5) == 0
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic is not null")
-    model = toxicity.fit(docs.where(~held).join(labels, "doc_id").select("text", "toxic"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held))
     return toxicity.score(docs, model).select(
         "doc_id", held.alias("held_out"), "toxicity.score", F.col("toxicity.toxic").cast("int").alias("predicted"),
         F.size("toxicity.segments").alias("n_segments"))

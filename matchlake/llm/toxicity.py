@@ -179,15 +179,19 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]) * 10 / scale, float(w[1])
 
 
-def fit(labelled: DataFrame, *, text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
+        fit_rows: int = FIT_ROWS) -> Model:
     """Model of labelled texts; rows without text or label teach nothing, equal texts with equal labels teach once.
 
-    Uses a bounded sample of rows (`fit_rows`, whole texts), so what comes to the driver is bounded as well: the forms
-    whose odds are sure, and one number a sampled row.
+    Uses a bounded sample of the label rows (about `fit_rows`, whole texts), so the labels can go to where the documents
+    are, and what comes to the driver is bounded as well: the forms whose odds are sure, and one number a sampled row.
     """
-    shipped(labelled.sparkSession)
-    rows = labelled.select(F.col(text).alias("t"), (F.col(label) != 0).alias("y")).where("t is not null and y is not null")
-    sample = bounded_sample(rows, fit_rows, rows.count(), "t", "y").dropDuplicates(["t", "y"])
+    spark = shipped(docs.sparkSession)
+    known = labels.select(F.col(key).alias("i"), (F.col(label) != 0).alias("y")).where("i is not null and y is not null")
+    few = bounded_sample(known, fit_rows, known.count(), "i")
+    sample = docs.select(F.col(key).alias("i"), F.col(text).alias("t")).where("t is not null") \
+        .join(F.broadcast(few), "i").select("t", "y").dropDuplicates(["t", "y"])
+    sample = staged(sample)
     counted = sample.mapInPandas(_count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     stems = F.col("f").endswith("*")
     total = counted.groupBy(stems.alias("stem")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
@@ -202,7 +206,7 @@ def fit(labelled: DataFrame, *, text: str = "text", label: str = "toxic", fit_ro
     sure = odds / F.sqrt(1 / (F.col("a") + prior) + 1 / (F.col("b") + prior))
     told = counted.select("f", odds.alias("o"), sure.alias("z")).where(F.abs("z") >= SURE)
     model.odds = {r.f: (r.o, r.z) for r in told.toLocalIterator()}
-    held = labelled.sparkSession.sparkContext.broadcast(model)
+    held = spark.sparkContext.broadcast(model)
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per sampled row: label, words, sums of its segments; and how often each score occurs in clean rows."""
