@@ -1,9 +1,10 @@
 """Toxic passages as maximum-scoring segments over token log-odds.
 
-Every word has a log-odds score (toxic against other labelled documents) under an informative Dirichlet prior; what says
-nothing scores a small negative drift. A linear-time scan finds all maximal segments of positive sum. How large such a sum
+Every word has a log-odds score (toxic against other labelled documents) under informative Dirichlet priors: those that find
+the telling forms share the whole vocabulary, those that estimate a word lean on its stems. What says nothing scores a small
+negative drift. A linear-time scan finds all maximal segments of positive sum. How large such a sum
 gets by chance in a clean text of a given length follows an extreme-value law whose two constants are fitted on the clean
-labelled documents; the surprise of the segments adds up to the evidence that a logistic curve turns into a score.
+labelled documents; the surprise of the segments adds up to the evidence, whose logarithm a logistic curve turns into a score.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from .common import WORD_BYTES, bounded_sample, shipped, slices, staged, texts
 PRIOR = 0.02
 #: Least distance of a log-odds from 0 in standard deviations for it to count.
 SURE = 2.5
+#: Weight of a shorter form in the estimate of a longer one, in documents.
+STEP = 3.0
 #: What a word without known odds costs a segment.
 DRIFT = 0.5
 #: Leading characters that stand for a word where they tell more than it.
-STEMS = (4, 5, 6)
+STEMS = (6, 5, 4)
 #: The odds are fitted on about this many labelled rows, whole texts, chosen by a hash of the text.
 FIT_ROWS = 20_000
 #: Words whose score a worker remembers.
@@ -45,20 +48,28 @@ def tokens(text: bytes) -> list[str]:
 
 
 def forms(word: str) -> list[str]:
-    """A word and the stems that may stand for it; a stem ends with `*`."""
+    """A word and the stems that may stand for it, longest first; a stem ends with `*`."""
     return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
 
 
 class Scores(dict):
-    """Word -> score, looked up once by the form whose odds are surest, then remembered."""
+    """Word -> log-odds against the share of toxic documents, looked up once, then remembered.
 
-    def __init__(self, odds: dict[str, tuple[float, float]]):
+    The estimate goes from the shortest stem to the word itself. Each step is the mean of a two-way Dirichlet whose prior
+    mean is the step before and whose prior weight is `STEP`; a form that was never seen adds nothing.
+    """
+
+    def __init__(self, counts: dict[str, tuple[int, int]], base: float):
         super().__init__()
-        self.odds = odds
+        self.counts, self.base = counts, base
 
     def __missing__(self, word: str) -> float:
-        known = [self.odds[f] for f in forms(word) if f in self.odds]
-        value = max(known, key=lambda x: abs(x[1]))[0] if known else 0.0
+        rate, known = self.base, False
+        for form in reversed(forms(word)):
+            if form in self.counts:
+                a, b = self.counts[form]
+                rate, known = (a + STEP * rate) / (a + b + STEP), True
+        value = math.log(rate / (1 - rate)) - math.log(self.base / (1 - self.base)) if known else 0.0
         if len(self) >= MEMO_WORDS:
             self.clear()
         self[word] = value
@@ -91,9 +102,10 @@ def segments(values: list[tuple[int, int, float]]) -> list[tuple[int, int, float
 
 @dataclass
 class Model:
-    """Odds of the forms that tell something, the two constants of the chance law, and the logistic curve."""
+    """Counts of the forms that tell something, the share of toxic documents, the two constants of the chance law, and the logistic curve."""
 
-    odds: dict[str, tuple[float, float]] = field(default_factory=dict)
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
+    base: float = 0.5
     rate: float = 1.0
     size: float = 1.0
     slope: float = 0.0
@@ -132,7 +144,7 @@ class Model:
         return float(sum(max(0.0, -math.log(max(self.chance(n, s), 1e-300))) for _, _, s in found))
 
     def score(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.shift + self.slope * evidence))))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.shift + self.slope * math.log1p(evidence)))))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,13 +216,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     weight = PRIOR * (na + nb)
     odds = F.log((F.col("a") + prior) / (na + weight - F.col("a") - prior)) - F.log((F.col("b") + prior) / (nb + weight - F.col("b") - prior))
     sure = odds / F.sqrt(1 / (F.col("a") + prior) + 1 / (F.col("b") + prior))
-    told = counted.select("f", odds.alias("o"), sure.alias("z")).where(F.abs("z") >= SURE)
-    model.odds = {r.f: (r.o, r.z) for r in told.toLocalIterator()}
+    told = counted.where(F.abs(sure) >= SURE).select(F.col("f").alias("g"))
+    stem = F.rtrim(F.col("f"), F.lit("*"))
+    related = F.array_distinct(F.array("f", *(F.when(F.length(stem) >= n, F.concat(F.substring(stem, 1, n), F.lit("*"))) for n in STEMS)))
+    near = counted.select("f", "a", "b", F.explode(related).alias("g")).join(told, "g", "left_semi").select("f", "a", "b").distinct()
+    model.counts = {r.f: (r.a, r.b) for r in near.toLocalIterator()}
+    kinds = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    model.base = kinds[True] / (kinds[True] + kinds[False])
     held = spark.sparkContext.broadcast(model)
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Per sampled row: label, words, sums of its segments; and how often each score occurs in clean rows."""
-        model_, memo = held.value, Scores(held.value.odds)
+        model_, memo = held.value, Scores(held.value.counts, held.value.base)
         for frame in batches:
             values = [v.encode() for v in frame["t"]]
             for a, b in slices(np.array([len(v) for v in values]), 1 << 20):
@@ -235,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     expected = np.maximum(clean["n"].to_numpy(float), 1)
     model.size = float(max(1e-12, (some * np.exp(np.minimum(model.rate * best, 60)) / expected).sum() / max(1, len(clean)))) if len(clean) else 1.0
     model.size = min(model.size, 1.0)
-    x = np.array([model.evidence(int(n), [(0, 0, v) for v in s]) for n, s in zip(per_row["n"], per_row["s"])])
+    x = np.log1p([model.evidence(int(n), [(0, 0, v) for v in s]) for n, s in zip(per_row["n"], per_row["s"])]).astype(float)
     model.slope, model.shift = logistic(x, per_row["y"].to_numpy(float))
     return model
 
@@ -253,7 +270,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "toxi
 
     @F.arrow_udf(SCORED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model_, memo = held.value, Scores(held.value.odds)
+        model_, memo = held.value, Scores(held.value.counts, held.value.base)
         for column in batches:
             values, lengths = texts(column)
             rows: list[dict] = []
