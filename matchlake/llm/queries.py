@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, packing, sharding, token_matrix, tokens, toxicity, warc
+from . import decontamination, jaccard_join, language_id, packing, sharding, token_matrix, tokens, toxicity, warc
 from .common import fold, shared_folder, staged
 
 
@@ -47,6 +47,11 @@ def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_minhash_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all documents whose five-word shingles are at least 0.8 similar."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed id matrices of all documents, written, and every segment as cut out of them again."""
     matrix = staged(token_matrix.pack_matrices(table(spark, sf_dir, "documents")))
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxic_segments": op2_toxic_segments,
     "op3_suffix_array_leaks": op3_suffix_array_leaks,
     "op4_linear_grouping": op4_linear_grouping,
+    "op5_minhash_forest_join": op5_minhash_forest_join,
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_token_matrix": op9_token_matrix,
     "op10_histogram_shards": op10_histogram_shards,
