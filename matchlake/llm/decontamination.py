@@ -238,3 +238,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
         F.col(found)["n_words"].alias("n_words"), hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size(span) > 0).alias("contaminated"), span.alias("spans"),
         items.alias("item_ids"))).drop(found)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text",
+               window: int = WINDOW) -> DataFrame:
+    """Rows of `docs` without a word of the benchmark's windows."""
+    seen = decontaminate(docs, benchmark, text=text, item=item, item_text=item_text, window=window, out="_leak")
+    return seen.where(~F.col("_leak")["contaminated"]).select(*docs.columns)

@@ -225,7 +225,12 @@ def identify(docs: DataFrame, filters: Filters, *, text: str = "text", out: str
 
 
 def keep_identified(docs: DataFrame, filters: Filters, *, text: str = "text", least: float = 0.2) -> DataFrame:
-    """Rows of `docs` whose text is in one of the learned languages: not `und`, and at least `least` of its n-grams known."""
+    """Rows of `docs` whose text is in one of the learned languages: not `und`, and at least `least` of its n-grams known.
+
+    Where no language was learned there is nothing to judge by, and all rows stay.
+    """
+    if not filters.langs:
+        return docs
     name = "_language"
     return identify(docs, filters, text=text, out=name).where(
-        (F.col(name)["lang_pred"] != "und") & (F.col(name)["coverage"] >= least)).drop(name)
+        (F.col(name)["lang_pred"] != "und") & (F.col(name)["coverage"] >= least)).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_template, jaccard_join, language_id, packing, sharding, token_matrix, tokens, toxicity, warc
+from . import decontamination, html_template, jaccard_join, language_id, packing, sharding, token_matrix, tokens, toxicity, vector_graph, warc
 from .common import fold, shared_folder, staged
 
 
@@ -58,6 +58,12 @@ def op9_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix.segments_of(matrix)
 
 
+def op6_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for every twentieth one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_graph.search(vector_graph.index(vectors), vectors.where(F.pmod("vec_id", F.lit(20)) == 0), 20)
+
+
 def op7_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_template.extract(table(spark, sf_dir, "pages"), out="text").select(
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_array_leaks": op3_suffix_array_leaks,
     "op4_linear_grouping": op4_linear_grouping,
     "op5_minhash_forest_join": op5_minhash_forest_join,
+    "op6_pruned_graph_search": op6_pruned_graph_search,
     "op7_template_extraction": op7_template_extraction,
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_token_matrix": op9_token_matrix,

@@ -283,3 +283,8 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "toxi
             yield pa.array(rows, kind)
 
     return docs.withColumn(out, run.asNondeterministic()(F.col(text)))
+
+
+def keep_clean(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """Rows of `docs` that are not toxic."""
+    return score(docs, model, text=text, out="_toxicity").where(~F.col("_toxicity")["toxic"]).select(*docs.columns)
