@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.upsert import delete_insert
 
@@ -38,16 +40,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that fills less than half of the cores, ahead of a step that multiplies them.
-
-    A table of any size has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if 2 * splits <= cores else df
-
-
 def workspace(spark: SparkSession) -> str:
     """A fresh folder inside the shared folder."""
     return f"{shared_folder(spark)}/matchlake-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
@@ -72,8 +64,7 @@ class VersionedTable:
 
     def _versions(self) -> list[int]:
         jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs, root = _file_system(self.spark, self.path)
         if not fs.exists(root):
             return []
         done = []
@@ -95,54 +86,117 @@ class VersionedTable:
     def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
         following = (self.version() or 0) + 1
         write_table(df, f"{self.path}/v={following:08d}", partition_by)
+        self._drop_before(following - 1)
         return following
 
+    def _drop_before(self, version: int) -> None:
+        """Remove versions older than ``version``; the one before the newest stays for readers that have opened it."""
+        fs, _ = _file_system(self.spark, self.path)
+        for old in self._versions():
+            if old < version:
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={old:08d}"), True)
+
     def upsert(self, batch: DataFrame, key: Sequence[str] | str) -> int:
         current = self.read()
         return self.write(batch if current is None else delete_insert(current, batch, key))
 
 
-def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str, lo=None, hi=None) -> None:
-    """Reload a bronze table in place: everything, the seasons of the batch, or a closed date window.
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the folder ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), root
+
 
-    ``season`` and ``date`` tables are partitioned by ``_season_id`` / ``_fixture_date``; only partitions inside the scope
-    are touched. Dates of the window that the batch no longer fills are dropped.
+def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table at ``path`` with the types of ``schema`` and whatever further columns it has; None if there is none.
+
+    The schema is given, so that partition values keep their type: a text ``01`` does not turn into a number, and a table
+    that has only NULL partitions can be read.
     """
-    if scope == "global":
-        batch.write.mode("overwrite").parquet(path)
-        return
-    column = {"season": "_season_id", "date": "_fixture_date"}[scope]
-    (batch.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(column).parquet(path))
-    if scope == "date":
-        kept = {str(r[0]) for r in batch.select(column).distinct().collect()}
-        _drop_partitions(spark, path, column, lambda v: str(lo) <= v <= str(hi) and v not in kept)
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root) or not any(s.isDirectory() or s.getPath().getName().startswith("part-") for s in fs.listStatus(root)):
+        return None
+    known = set(schema.names)
+    more = [f for f in spark.read.parquet(path).schema if f.name not in known]
+    return spark.read.schema(StructType([*schema.fields, *more])).parquet(path)
+
 
+def _swap_partitions(spark: SparkSession, staged: str, path: str, column: str, emptied: Callable[[str], bool]) -> None:
+    """Put the staged partitions in the place of those of ``path`` and remove those in scope that have no rows any more.
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, gone) -> None:
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for status in fs.listStatus(root):
+    Only complete data moves: the staged folder has been written before anything is removed, and each partition is renamed.
+    """
+    fs, source = _file_system(spark, staged)
+    _, target = _file_system(spark, path)
+    fs.mkdirs(target)
+    fresh = {s.getPath().getName(): s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith(f"{column}=")}
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(target):
         name = status.getPath().getName()
-        if name.startswith(f"{column}=") and gone(name.split("=", 1)[1]):
+        if name.startswith(f"{column}=") and name not in fresh and emptied(unquote(name.split("=", 1)[1])):
             fs.delete(status.getPath(), True)
+    for name, place in fresh.items():
+        fs.delete(make(target, name), True)
+        if not fs.rename(place, make(target, name)):
+            raise OSError(f"cannot move {place}")
+    spark.catalog.refreshByPath(path)
+
+
+def _merge_partitions(spark: SparkSession, path: str, batch: DataFrame, partition: str, kept: Callable[[DataFrame], DataFrame],
+                      emptied: Callable[[str], bool], scope: Column | None = None) -> None:
+    """Rewrite the partitions that the batch or ``scope`` touches: what ``kept`` leaves of their old rows, and the batch."""
+    current = stored(spark, path, batch.schema)
+    staged = f"{workspace(spark)}/staged"
+    if current is None:
+        write_table(batch, staged, [partition])
+    else:
+        touched = batch.select(F.col(partition).alias("_touched")).distinct()
+        near = current.join(touched, current[partition].eqNullSafe(touched["_touched"]), "left_semi")
+        if scope is not None:
+            outside = current.filter(F.coalesce(scope, F.lit(False))).select(F.col(partition).alias("_touched")).distinct()
+            touched = touched.union(outside).distinct()
+            near = current.join(touched, current[partition].eqNullSafe(touched["_touched"]), "left_semi")
+        write_table(kept(near).unionByName(batch, allowMissingColumns=True), staged, [partition])
+    _swap_partitions(spark, staged, path, partition, emptied)
+
+
+def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str, lo=None, hi=None,
+                  seasons: Sequence | None = None) -> None:
+    """Reload a bronze table: everything, whole seasons, or a closed date window.
+
+    Rows inside the scope go, the batch is added, all others stay, also in partitions that both share and where the date
+    is NULL. ``seasons`` names the seasons that are reloaded, those of the batch if not given; a season with an empty reload
+    loses its rows. ``season`` and ``date`` tables are partitioned by ``_season_id`` / ``_fixture_date``. The new content is
+    complete before the old one is touched, so a batch may read the table it replaces.
+    """
+    if scope == "global":
+        staged = f"{workspace(spark)}/staged"
+        write_table(batch, staged)
+        spark.read.schema(batch.schema).parquet(staged).write.mode("overwrite").parquet(path)
+        spark.catalog.refreshByPath(path)
+        return
+    column = {"season": "_season_id", "date": "_fixture_date"}[scope]
+    if scope == "date":
+        inside = F.col(column).between(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date"))
+        _merge_partitions(spark, path, batch, column, lambda old: old.filter(~F.coalesce(inside, F.lit(False))),
+                          lambda v: str(lo) <= v <= str(hi), inside)
+    elif seasons is None:
+        _merge_partitions(spark, path, batch, column, lambda old: old.limit(0), lambda v: False)
+    else:
+        inside = F.col(column).isin(*seasons) if seasons else F.lit(False)
+        names = {str(v) for v in seasons}
+        _merge_partitions(spark, path, batch, column, lambda old: old.filter(~F.coalesce(inside, F.lit(False))),
+                          lambda v: v in names, inside)
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str) -> None:
-    """delete+insert that rewrites only the partitions the batch touches.
+    """delete+insert that rewrites only the partitions the batch touches, NULL being one of them.
 
-    The key must contain, or determine, the partition column (a match keeps its date bucket). The number of touched
-    partition values is the width of the load window, not the size of the data.
+    The key must contain, or determine, the partition column (a match keeps its date bucket). Which partitions are touched
+    is a semi join, so nothing is collected; a missing table is created.
     """
-    touched = [r[0] for r in batch.select(partition).distinct().collect()]
-    if not touched:
-        return
-    current = spark.read.parquet(path).filter(F.col(partition).isin(*touched))
-    staged = f"{workspace(spark)}/staged"
-    write_table(delete_insert(current.select(*batch.columns), batch, key), staged, [partition])
-    (spark.read.parquet(staged).select(*batch.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    _merge_partitions(spark, path, batch, partition,
+                      lambda old: old.join(batch.select(*key).distinct(), list(key), "left_anti").select(*old.columns), lambda v: False)
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], target: str, schemas: Sequence[str] | None = None,

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.storage import VersionedTable
+from ..sources.storage import VersionedTable, upsert_partitions
 
 
 def stream_upsert(spark: SparkSession, source: DataFrame, table: VersionedTable, key: Sequence[str], checkpoint: str,
@@ -25,6 +25,21 @@ def stream_upsert(spark: SparkSession, source: DataFrame, table: VersionedTable,
     return query.lastProgress["batchId"] if query.lastProgress else -1
 
 
+def stream_upsert_partitions(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str], partition: str, checkpoint: str,
+                             transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+    """As ``stream_upsert``, into a partitioned table of which a batch rewrites only the partitions it touches.
+
+    Inside a batch the same key may come once only, as in ``upsert_partitions``; a replayed batch changes nothing.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        upsert_partitions(spark, path, transform(batch), key, partition)
+
+    query = (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query.lastProgress["batchId"] if query.lastProgress else -1
+
+
 def landed_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:

@@ -64,28 +64,61 @@ def src02(spark, sf):
 
 @query("src03_replace_season", f"""
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS _season_id, {_CENTS} + CASE WHEN year(o_orderdate) = 1997 THEN 1 ELSE 0 END AS cents
-FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F'""")
+FROM orders WHERE year(o_orderdate) NOT IN (1995, 1997) OR year(o_orderdate) = 1997 AND o_orderstatus = 'F'""")
 def src03(spark, sf):
     rows = table(spark, sf, "orders").selectExpr("o_orderkey", "o_orderstatus", f"{_CENTS} AS cents", "year(o_orderdate) AS _season_id")
     path = f"{space(spark)}/season"
     storage.replace_scope(spark, path, rows.drop("o_orderstatus"), "season")
     batch = rows.filter("_season_id = 1997 AND o_orderstatus = 'F'").selectExpr("o_orderkey", "cents + 1 AS cents", "_season_id")
-    storage.replace_scope(spark, path, batch, "season")
+    storage.replace_scope(spark, path, batch, "season", seasons=[1995, 1997])  # nothing came for 1995
     return spark.read.parquet(path)
 
 
 @query("src04_replace_dates", f"""
+WITH rows AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS day, {_CENTS} AS cents, o_orderstatus FROM orders)
+SELECT o_orderkey, day AS _fixture_date, cents FROM rows WHERE NOT coalesce(day BETWEEN DATE '1996-03-01' AND DATE '1996-06-30', false)
+UNION ALL SELECT o_orderkey, day, -cents FROM rows WHERE day BETWEEN DATE '1996-03-01' AND DATE '1996-06-30' AND o_orderstatus = 'F'
+UNION ALL SELECT -o_orderkey, day, cents FROM rows WHERE o_orderkey % 100 = 0 OR day = DATE '1996-07-01'""", dates=["_fixture_date"])
+def src04(spark, sf):
+    """A window is reloaded; the batch also has rows without a date and rows behind the window, which are added."""
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 50 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS _fixture_date",
+                                                 f"{_CENTS} AS cents", "o_orderstatus")
+    path = f"{space(spark)}/dates"
+    storage.replace_scope(spark, path, rows.drop("o_orderstatus"), "date", "1990-01-01", "2000-12-31")
+    inside = rows.filter("_fixture_date BETWEEN '1996-03-01' AND '1996-06-30' AND o_orderstatus = 'F'").withColumn("cents", -F.col("cents"))
+    more = rows.filter("o_orderkey % 100 = 0 OR _fixture_date = '1996-07-01'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    batch = inside.unionByName(more).drop("o_orderstatus")
+    storage.replace_scope(spark, path, batch, "date", "1996-03-01", "1996-06-30")
+    return storage.stored(spark, path, batch.schema)
+
+
+@query("src04_replace_where", f"""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, {_CENTS} AS cents FROM orders
 WHERE NOT (CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-06-30')
 UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE), -{_CENTS} FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-06-30' AND o_orderstatus = 'F'""", dates=["day"])
-def src04(spark, sf):
+def src04_relation(spark, sf):
     rows = table(spark, sf, "orders").selectExpr("o_orderkey", "CAST(o_orderdate AS DATE) AS day", f"{_CENTS} AS cents", "o_orderstatus")
     window = F.col("day").between("1996-03-01", "1996-06-30")
     batch = rows.filter(window & (F.col("o_orderstatus") == "F")).withColumn("cents", -F.col("cents"))
     return upsert.replace_where(rows.drop("o_orderstatus"), batch.drop("o_orderstatus"), window)
 
 
+@query("u01_partition_upsert", f"""
+WITH rows AS (SELECT o_orderkey, CASE WHEN o_orderkey % 40 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) END AS season, {_CENTS} AS cents FROM orders)
+SELECT o_orderkey, season, cents + CASE WHEN season = 1994 OR o_orderkey % 80 = 0 THEN 1 ELSE 0 END AS cents FROM rows
+UNION ALL SELECT -o_orderkey, season, cents FROM rows WHERE season = 1994 AND o_orderkey % 3 = 0 OR o_orderkey % 80 = 0""")
+def u01_partitions(spark, sf):
+    """Changed and new rows of one season and of the rows without a season go in; other partitions are not rewritten."""
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 40 <> 0 THEN year(o_orderdate) END AS season", f"{_CENTS} AS cents")
+    path = f"{space(spark)}/seasons"
+    storage.upsert_partitions(spark, path, rows, ["o_orderkey"], "season")
+    changed = rows.filter("season = 1994 OR o_orderkey % 80 = 0").withColumn("cents", F.col("cents") + 1)
+    added = rows.filter("season = 1994 AND o_orderkey % 3 = 0 OR o_orderkey % 80 = 0").withColumn("o_orderkey", -F.col("o_orderkey"))
+    storage.upsert_partitions(spark, path, changed.unionByName(added), ["o_orderkey"], "season")
+    return storage.stored(spark, path, rows.schema)
+
+
 @query("src05_load_window", """
 SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-13' AND DATE '2024-02-19'
 GROUP BY ALL""", dates=["day"])
@@ -271,7 +304,7 @@ def pf10(spark, sf):
 
 def _line_docs(spark, sf, where="true"):
     """Order lines packed into arrays of their own row: a document never gathers a group."""
-    return storage.spread(table(spark, sf, "lineitem").filter(where)).selectExpr(
+    return table(spark, sf, "lineitem").filter(where).selectExpr(
         "l_orderkey AS id", "to_json(named_struct('lines', array(named_struct('part', l_partkey, 'n', 0), "
         "named_struct('part', l_suppkey, 'n', 1)))) AS raw_json", "CAST(l_shipdate AS TIMESTAMP_NTZ) AS _ingested_at")
 
@@ -953,13 +986,20 @@ def u17(spark, sf):
     return count_by(warehouse(spark, sf).get("dim_date"), "season", "is_current_season")
 
 
-@query("st01_stream_load", "SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+@query("st01_stream_load", """
+SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  CASE WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS version FROM events""")
 def st01(spark, sf):
-    """The landed events as a stream: flatten, upsert by key per micro-batch, stop when everything is read."""
+    """The landed events as a stream of several files, a quarter of which come again later: flatten, upsert by key into the
+    partitions a micro-batch touches, stop when everything is read."""
     root = space(spark)
-    schema = table(spark, sf, "events").schema
-    source = incremental.landed_stream(spark, f"{sf}/events*.parquet", schema)
-    out = storage.VersionedTable(spark, f"{root}/events")
-    flat = lambda df: df.select("event_id", "user_id", "event_type", C.from_text(F.get_json_object("props", "$.k"), "int").alias("k"))
-    incremental.stream_upsert(spark, source, out, ["event_id"], f"{root}/progress", flat)
-    return out.read()
+    events = table(spark, sf, "events").withColumn("version", F.lit(1))
+    (events.repartition(3).write.parquet(f"{root}/landed"))
+    source = incremental.landed_stream(spark, f"{root}/landed", events.schema, files_per_batch=2)
+    flat = lambda df: df.select("event_id", "user_id", "event_type", C.from_text(F.get_json_object("props", "$.k"), "int").alias("k"), "version")
+    load = lambda: incremental.stream_upsert_partitions(spark, source, f"{root}/events", ["event_id", "event_type"], "event_type", f"{root}/progress", flat)
+    load()
+    again = events.filter("event_id % 4 = 0").withColumn("version", F.lit(2))
+    again.coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    load()
+    return storage.stored(spark, f"{root}/events", flat(events).schema)

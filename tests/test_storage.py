@@ -29,6 +29,50 @@ def test_scopes(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("id")) == [(1,), (2,), (3,)]
 
 
+def test_date_window_keeps_what_lies_outside(spark, tmp_path):
+    path = str(tmp_path / "d")
+    base = table(spark, [(1, "a", "2024-01-01"), (2, "b", None), (3, "c", None), (4, "d", "2024-02-01"), (5, "e", "2024-02-01")]).drop("_season_id")
+    storage.replace_scope(spark, path, base, "date", "2000-01-01", "2030-01-01")
+    batch = table(spark, [(10, "x", "2024-01-01"), (11, "y", None), (12, "z", "2024-02-01")]).drop("_season_id")
+    storage.replace_scope(spark, path, batch, "date", "2024-01-01", "2024-01-02")
+    assert rows(storage.stored(spark, path, base.schema).select("id")) == [(10,), (11,), (12,), (2,), (3,), (4,), (5,)]
+
+
+def test_season_with_an_empty_reload_loses_its_rows(spark, tmp_path):
+    path = str(tmp_path / "s")
+    base = table(spark, BASE).drop("_fixture_date")
+    storage.replace_scope(spark, path, base, "season")
+    storage.replace_scope(spark, path, base.limit(0), "season", seasons=[2025])
+    assert rows(spark.read.parquet(path).select("id")) == [(1,), (2,)]
+    storage.replace_scope(spark, path, storage.stored(spark, path, base.schema).filter("id = 2"), "season", seasons=[2024])
+    assert rows(spark.read.parquet(path).select("id")) == [(2,)]
+
+
+def test_partition_upsert_with_null_and_text_partitions(spark, tmp_path):
+    path = str(tmp_path / "n")
+    make = lambda data: spark.createDataFrame(data, "id bigint, v string, p string")
+    storage.upsert_partitions(spark, path, make([(1, "a", "01"), (2, "b", None), (3, "c", None)]), ["id"], "p")
+    storage.upsert_partitions(spark, path, make([(8, "h", "01"), (9, "i", None)]), ["id"], "p")
+    storage.upsert_partitions(spark, path, make([(3, "C", None)]), ["id"], "p")
+    got = storage.stored(spark, path, make([]).schema)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "a", "01"), (2, "b", None), (3, "C", None), (8, "h", "01"), (9, "i", None)], key=str)
+
+
+def test_stream_rewrites_touched_partitions_only(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    table(spark, BASE).coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    go = lambda: incremental.stream_upsert_partitions(spark, incremental.landed_stream(spark, src, schema, files_per_batch=1), out,
+                                                      ["id"], "_season_id", str(tmp_path / "progress"))
+    go()
+    untouched = sorted(p.name for p in (tmp_path / "out" / "_season_id=2025").iterdir())
+    table(spark, [(2, "new", "2024-01-02"), (7, "g", "2024-01-07")]).coalesce(1).write.mode("append").parquet(src)
+    go()
+    assert rows(spark.read.parquet(out).select("id", "v")) == [(1, "a"), (2, "new"), (3, "c"), (7, "g")]
+    assert untouched == sorted(p.name for p in (tmp_path / "out" / "_season_id=2025").iterdir())
+
+
 def test_versions(spark, tmp_path):
     t = storage.VersionedTable(spark, str(tmp_path / "t"))
     assert t.read() is None
