@@ -52,8 +52,12 @@ def match_options(mm: DataFrame, season: str, picks=ALL) -> DataFrame:
     ).orderBy(F.col("match_date").desc(), "match_key")
 
 
-def _at(key: str) -> Column:
-    """The rows of one match option; the key is split once, so both parts reach the scan as plain predicates."""
+def _at(key: str | Column) -> Column:
+    """The rows of one match option; the key is split once, so both parts reach the scan as plain predicates. A column (a
+    scalar subquery) is split by Spark."""
+    if isinstance(key, Column):
+        part = lambda k: F.split_part(key, F.lit(KEY_SEPARATOR), F.lit(k))
+        return (F.col("match_name") == part(1)) & (F.col("match_date") == part(2).cast("date"))
     name, _, rest = key.partition(KEY_SEPARATOR)
     return (F.col("match_name") == name) & (F.col("match_date") == F.lit(rest.split(KEY_SEPARATOR)[0]).cast("date"))
 

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.storage import configure, workspace, write_table
+from ..sources.storage import configure, folder_state, workspace, write_table
 from . import dims as D, facts, marts
 from .adapter import Silver
 
@@ -90,9 +90,9 @@ class Warehouse:
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of this session for one data folder."""
+    """The warehouse of this session for one data folder; a folder whose files have changed gets a new one."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), folder_state(spark, sf_dir.rstrip("/")))
     with _LOCK:
         if key not in _OPEN:
             _OPEN[key] = Warehouse(spark, sf_dir.rstrip("/"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes
+from .storage import replace_scope
 
 ENVELOPE = "id bigint, raw_json string, _season_id int, _fixture_date date, _ingested_at timestamp"
 DATE_CHUNK_DAYS, DAYS_BACK, DAYS_FORWARD = 90, 7, 30
@@ -79,29 +82,29 @@ class Entry:
 STRATEGIES = {"static", "seasons_from_league", "season_based", "stage_based", "round_based", "team_based", "date_based"}
 SCOPES = {"global", "season", "date"}
 # table, path template, iteration, refresh scope. Fixed values of the feed.
-MANIFEST = tuple(Entry(*line.split()) for line in """
-core_continents /continents static global
-core_countries /countries static global
-core_regions /regions static global
-types /types static global
-states /states static global
-tv_stations /tv-stations static global
-league /leagues/{league_id} static global
-seasons /leagues/{league_id} seasons_from_league global
-players /players static global
-stages /stages/seasons/{season_id} season_based season
-rounds /rounds/seasons/{season_id} season_based season
-teams /teams/seasons/{season_id} season_based season
-venues /venues/seasons/{season_id} season_based season
-referees /referees/seasons/{season_id} season_based season
-standings /standings/seasons/{season_id} season_based season
-topscorers /topscorers/seasons/{season_id} season_based season
-stage_topscorers /topscorers/stages/{stage_id} stage_based season
-stage_statistics /statistics/stages/{stage_id} stage_based season
-round_statistics /statistics/rounds/{round_id} round_based season
-rivals /rivals/teams/{team_id} team_based global
-fixtures /fixtures/between/{from_date}/{to_date} date_based date
-""".strip().splitlines())
+MANIFEST = (
+    Entry("core_continents", "/continents", "static", "global"),
+    Entry("core_countries", "/countries", "static", "global"),
+    Entry("core_regions", "/regions", "static", "global"),
+    Entry("types", "/types", "static", "global"),
+    Entry("states", "/states", "static", "global"),
+    Entry("tv_stations", "/tv-stations", "static", "global"),
+    Entry("league", "/leagues/{league_id}", "static", "global"),
+    Entry("seasons", "/leagues/{league_id}", "seasons_from_league", "global"),
+    Entry("players", "/players", "static", "global"),
+    Entry("stages", "/stages/seasons/{season_id}", "season_based", "season"),
+    Entry("rounds", "/rounds/seasons/{season_id}", "season_based", "season"),
+    Entry("teams", "/teams/seasons/{season_id}", "season_based", "season"),
+    Entry("venues", "/venues/seasons/{season_id}", "season_based", "season"),
+    Entry("referees", "/referees/seasons/{season_id}", "season_based", "season"),
+    Entry("standings", "/standings/seasons/{season_id}", "season_based", "season"),
+    Entry("topscorers", "/topscorers/seasons/{season_id}", "season_based", "season"),
+    Entry("stage_topscorers", "/topscorers/stages/{stage_id}", "stage_based", "season"),
+    Entry("stage_statistics", "/statistics/stages/{stage_id}", "stage_based", "season"),
+    Entry("round_statistics", "/statistics/rounds/{round_id}", "round_based", "season"),
+    Entry("rivals", "/rivals/teams/{team_id}", "team_based", "global"),
+    Entry("fixtures", "/fixtures/between/{from_date}/{to_date}", "date_based", "date"),
+)
 
 
 def validate_manifest(entries=MANIFEST) -> None:
@@ -112,6 +115,50 @@ def validate_manifest(entries=MANIFEST) -> None:
         raise ValueError("; ".join(problems))
 
 
+def load(spark: SparkSession, landed: Mapping[str, DataFrame], root: str, mode: str, *, seasons: Sequence[int] = (),
+         running: Sequence[int] = (), first: date | None = None, last: date | None = None, as_of: date | None = None,
+         chunk_days: int = DATE_CHUNK_DAYS, entries: Sequence[Entry] = MANIFEST) -> list[str]:
+    """Refresh the bronze tables of the manifest from landed documents (``ENVELOPE`` columns); returns the scopes replaced.
+
+    ``full`` reloads global tables, all ``seasons`` and the days from ``first`` to ``last`` in pieces of ``chunk_days``.
+    ``incremental`` reloads global tables, the ``running`` seasons and the rolling window around ``as_of``. A season or a
+    window for which nothing landed is emptied. Tables of the manifest that nothing was landed for are left alone.
+    """
+    if mode not in ("full", "incremental"):
+        raise ValueError(f"mode must be full or incremental, not {mode!r}")
+    validate_manifest(entries)
+    done = []
+    for entry in entries:
+        if entry.table not in landed:
+            continue
+        docs, path = landed[entry.table], f"{root.rstrip('/')}/{entry.table}"
+        if entry.scope == "global":
+            replace_scope(spark, path, docs, "global")
+            done.append(f"{entry.table}: all")
+        elif entry.scope == "season":
+            wanted = list(seasons if mode == "full" else running)
+            replace_scope(spark, path, docs.filter(F.col("_season_id").isin(*wanted) if wanted else F.lit(False)), "season", seasons=wanted)
+            done.append(f"{entry.table}: seasons {wanted}")
+        else:
+            for lo, hi in _windows(mode, first, last, as_of, chunk_days):
+                inside = F.col("_fixture_date").between(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date"))
+                replace_scope(spark, path, docs.filter(inside), "date", lo, hi)
+                done.append(f"{entry.table}: {lo} to {hi}")
+    return done
+
+
+def _windows(mode: str, first: date | None, last: date | None, as_of: date | None, chunk_days: int) -> list[tuple[date, date]]:
+    """Closed windows of days that a load of a dated table replaces."""
+    if mode == "incremental":
+        today = as_of or date.today()
+        return [(today - timedelta(days=DAYS_BACK), today + timedelta(days=DAYS_FORWARD))]
+    out = []
+    while first <= last:
+        out.append((first, min(first + timedelta(days=chunk_days - 1), last)))
+        first += timedelta(days=chunk_days)
+    return out
+
+
 def freshness(docs: DataFrame, now: Column, ts: str = "_ingested_at") -> DataFrame:
     """Age of the newest row in hours and the severity it means."""
     age = (F.unix_timestamp(now) - F.unix_timestamp(F.max(ts))) / 3600

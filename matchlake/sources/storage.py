@@ -41,8 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def workspace(spark: SparkSession) -> str:
-    """A fresh folder inside the shared folder."""
-    return f"{shared_folder(spark)}/matchlake-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder inside the shared folder, removed when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/matchlake-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
+    fs, root = _file_system(spark, path)
+    fs.mkdirs(root)
+    fs.deleteOnExit(root)
+    return path
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -107,6 +111,12 @@ def _file_system(spark: SparkSession, path: str):
     return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), root
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the tables in a folder; differs when a table has been written anew."""
+    fs, root = _file_system(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(root)))
+
+
 def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """The table at ``path`` with the types of ``schema`` and whatever further columns it has; None if there is none.
 

@@ -94,11 +94,11 @@ SELECT DISTINCT match_name || '|' || CAST(match_date AS VARCHAR) AS match_key, m
   match_date {MM} AND {IN_ROUNDS}""", dates=["match_date"])
 
 
-def _chosen_match(spark, sf) -> str:
+def _chosen_match(spark, sf):
     """The match a reader would pick: the first one of the season with both line-ups."""
     w = warehouse(spark, sf)
     listed = w.get("mart_player_facts").filter(f"{S} AND appearance_type = 'Substitute'")
-    return listed.orderBy("match_id").select(games.match_key().alias("k")).first()["k"]
+    return listed.orderBy("match_id").limit(1).select(games.match_key().alias("k")).scalar()
 
 
 _PICK = (f"(SELECT (match_name, match_date) FROM mp WHERE {S} AND appearance_type = 'Substitute' ORDER BY match_id LIMIT 1)")
@@ -322,12 +322,12 @@ SELECT category, player_name, player_photo, player_position, team_name, team_log
   {_cat}) QUALIFY row_number() OVER (PARTITION BY category ORDER BY stat_value DESC, player_name, player_photo) = 1""")
 
 
-def _chosen_player(spark, sf) -> str:
+def _chosen_player(spark, sf):
     """The player a reader would pick: the one with most minutes in the season."""
     from pyspark.sql import functions as F
     rows = common.in_season(warehouse(spark, sf).get("mart_player_facts"), SEASON)
-    best = rows.groupBy("player_name").agg(F.sum("minutes_played").alias("m")).orderBy(F.col("m").desc(), "player_name").first()
-    return best["player_name"]
+    best = rows.groupBy("player_name").agg(F.sum("minutes_played").alias("m")).orderBy(F.col("m").desc(), "player_name").limit(1)
+    return best.select("player_name").scalar()
 
 
 def one_player(fn):

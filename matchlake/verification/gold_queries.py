@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions import codes
 from ..plans import marts
 from ..plans.facts import TEAM_FACT_COLUMNS, PLAYER_FACT_KEYS
@@ -14,8 +16,18 @@ def _plan(name):
     return lambda spark, sf: warehouse(spark, sf).plan(name)
 
 
+def _members(name, sk, fact):
+    """A fixed dimension with the number of fact rows of each member."""
+    def run(spark, sf):
+        w = warehouse(spark, sf)
+        used = w.get(fact).groupBy(sk).agg(F.count("*").alias("n"))
+        return w.plan(name).join(used, sk, "left").withColumn("fact_rows", F.coalesce("n", F.lit(0))).drop("n")
+    return run
+
+
 register("g01_dim_date", _plan("dim_date"), "SELECT * FROM g_date", dates=["date"])
-register("g02_dim_time", _plan("dim_time"), "SELECT * FROM g_time")
+register("g02_dim_time", _members("dim_time", "time_sk", "fct_team_matches"), """
+SELECT g_time.*, coalesce(n, 0) AS fact_rows FROM g_time LEFT JOIN (SELECT time_sk, count(*) AS n FROM g_teamfact GROUP BY ALL) USING (time_sk)""")
 register("g03_dim_team", _plan("dim_team"), "SELECT * FROM g_team")
 register("g04_dim_opponent_team", _plan("dim_opponent_team"), "SELECT " + ", ".join(
     f"{c} AS opponent_{c}" for c in ("team_sk", "team_id", "team_name", "team_code", "team_short_name", "team_country",
@@ -28,11 +40,11 @@ register("g09_dim_stadium", _plan("dim_stadium"), "SELECT * EXCLUDE (id), id AS
 register("g10_dim_league", _plan("dim_league"), "SELECT * FROM g_league")
 register("g11_dim_formation", _plan("dim_formation"), "SELECT * FROM g_formation")
 register("g12_dim_position", _plan("dim_position"), "SELECT * FROM g_position")
-register("g13_dim_match_result", _plan("dim_match_result"),
-         "SELECT sk AS match_result_sk, label AS match_result FROM g_result")
-register("g14_dim_team_side", _plan("dim_team_side"), "SELECT sk AS team_side_sk, label AS team_side FROM g_side")
-register("g15_dim_appearance_type", _plan("dim_appearance_type"),
-         "SELECT sk AS appearance_type_sk, label AS appearance_type FROM g_apptype")
+for _id, _what, _facts, _cte in (("g13", "match_result", "fct_team_matches", "result"), ("g14", "team_side", "fct_team_matches", "side"),
+                                 ("g15", "appearance_type", "fct_player_appearances", "apptype")):
+    register(f"{_id}_dim_{_what}", _members(f"dim_{_what}", f"{_what}_sk", _facts), f"""
+SELECT sk AS {_what}_sk, label AS {_what}, coalesce(n, 0) AS fact_rows FROM g_{_cte} LEFT JOIN
+  (SELECT {_what}_sk AS sk, count(*) AS n FROM {"g_teamfact" if _facts == "fct_team_matches" else "g_playerfact"} GROUP BY ALL) USING (sk)""")
 register("g16_fct_team_matches", _plan("fct_team_matches"), f"SELECT {', '.join(TEAM_FACT_COLUMNS)} FROM g_teamfact")
 register("g17_fct_player_appearances", _plan("fct_player_appearances"), "SELECT * FROM g_playerfact")
 register("g18_mart_match_facts", _plan("mart_match_facts"), "SELECT * FROM mm", dates=["match_date"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Window, functions as F
 
 from ..functions import columns as C
@@ -127,6 +129,49 @@ def src05(spark, sf):
     return e.filter(landing.load_window("incremental", F.col("day"), "2024-01-20")).groupBy("day").agg(F.count("*").alias("n"))
 
 
+def _landed(spark, sf):
+    """Events as dated documents, orders as documents of a season, nations as a global list."""
+    stamp = F.lit("2024-01-31").cast("timestamp")
+    events = landing.to_documents(table(spark, sf, "events"), "event_id", F.struct("event_type"), date_text=F.date_format("ts", "yyyy-MM-dd"), loaded_at=stamp)
+    orders = landing.to_documents(table(spark, sf, "orders"), "o_orderkey", F.struct("o_orderstatus"), season=F.year("o_orderdate"), loaded_at=stamp)
+    nations = landing.to_documents(table(spark, sf, "nation"), "n_nationkey", F.struct("n_name"), loaded_at=stamp)
+    return {"fixtures": events, "standings": orders, "core_countries": nations}
+
+
+def _counted(spark, root):
+    """What the loaded tables hold, by scope."""
+    parts = [spark.read.parquet(f"{root}/{name}").groupBy(F.lit(name).alias("name"), F.col(scope).cast("string").alias("scope")).agg(
+        F.count("*").alias("n"), F.sum("id").alias("ids")) for name, scope in (
+            ("fixtures", "_fixture_date"), ("standings", "_season_id"), ("core_countries", "_season_id"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("src12_manifest_full", """
+SELECT 'fixtures' AS name, CAST(CAST(ts AS DATE) AS VARCHAR) AS scope, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY ALL
+UNION ALL SELECT 'standings', CAST(year(o_orderdate) AS VARCHAR), count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders GROUP BY ALL
+UNION ALL SELECT 'core_countries', NULL, count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation GROUP BY ALL""")
+def src12_full(spark, sf):
+    root = space(spark)
+    landing.load(spark, _landed(spark, sf), root, "full", seasons=range(1990, 2011), first=date(2023, 12, 1), last=date(2024, 2, 29))
+    return _counted(spark, root)
+
+
+@query("src12_manifest_incremental", """
+SELECT 'fixtures' AS name, CAST(CAST(ts AS DATE) AS VARCHAR) AS scope, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+WHERE CAST(ts AS DATE) < DATE '2024-01-13' OR event_id % 2 = 0 GROUP BY ALL
+UNION ALL SELECT 'standings', CAST(year(o_orderdate) AS VARCHAR), count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F' GROUP BY ALL
+UNION ALL SELECT 'core_countries', NULL, count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation GROUP BY ALL""")
+def src12_incremental(spark, sf):
+    """A full load, then a daily one of which only half of the window's documents and part of the running season are left."""
+    root, landed = space(spark), _landed(spark, sf)
+    landing.load(spark, landed, root, "full", seasons=range(1990, 2011), first=date(2024, 1, 1), last=date(2024, 1, 31))
+    later = landed | {"fixtures": landed["fixtures"].filter("id % 2 = 0"),
+                      "standings": landed["standings"].filter(F.get_json_object("raw_json", "$.o_orderstatus") == "F")}
+    landing.load(spark, later, root, "incremental", running=[1997], as_of=date(2024, 1, 20))
+    return _counted(spark, root)
+
+
 @query("src06_date_chunks", """
 SELECT y AS season, CAST(d AS DATE) AS from_date, least(CAST(d AS DATE) + 89, hi) AS to_date
 FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi
