@@ -6,10 +6,9 @@ import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import IntegralType
 
+from ..sources.storage import workspace
 from .literals import values
-from .prefix import prefix_sum
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str | Column], oldest: bool = False) -> DataFrame:
@@ -26,18 +25,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str | Column
 
 
 def dense_number(df: DataFrame, key: str, out: str, start: Column | int = 0) -> DataFrame:
-    """``start`` + 1, 2, 3... in the order of the unique column ``key``.
+    """``start`` + 1, 2, 3... in the order of the unique column ``key``, which may be of any type.
 
-    Integer keys are numbered bucket by bucket: at most 2**20 rows meet in one window partition. Text keys are meant for
-    label vocabularies (formations, positions), whose size does not follow the data.
+    The rows are cut into ranges of the key at its quantiles and written down once; ranges are counted, each is numbered on
+    its own, and shifted by what lies before it. The one window without partition sees a row per range.
     """
     first = F.lit(start) if isinstance(start, int) else start
-    if isinstance(df.schema[key].dataType, IntegralType):
-        numbered = prefix_sum(df.withColumn("_key", F.col(key).cast("bigint")), "_key", F.lit(1), "_number", bits=20)
-        numbered = numbered.drop("_key")
-    else:
-        numbered = df.withColumn("_number", F.row_number().over(Window.orderBy(key)))
-    return numbered.withColumn(out, (F.col("_number") + first).cast("bigint")).drop("_number")
+    path = f"{workspace(df.sparkSession)}/numbered"
+    ranged = df.repartitionByRange(key).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    return (rows.withColumn("_place", place).join(offsets, "_range")
+            .withColumn(out, (F.col("_place") + F.col("_offset") + first).cast("bigint")).drop("_range", "_place", "_offset"))
 
 
 def merge_scd1(target: DataFrame | None, source: DataFrame, key: str, sk: str, update: Sequence[str],

@@ -648,6 +648,19 @@ def w02(spark, sf):
     return per.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), "n_name")))
 
 
+@query("w03_number_text_keys", """
+SELECT key, row_number() OVER (ORDER BY key) + 5 AS n FROM (SELECT md5(CAST(o_orderkey AS VARCHAR)) AS key FROM orders)""")
+def w03_text(spark, sf):
+    named = table(spark, sf, "orders").select(F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("key"))
+    return keys.dense_number(named, "key", "n", 5)
+
+
+@query("w03_number_sparse_keys", """
+SELECT key, row_number() OVER (ORDER BY key) AS n FROM (SELECT o_orderkey * 1000000007 % 2305843009213693951 AS key FROM orders)""")
+def w03_sparse(spark, sf):
+    return keys.dense_number(table(spark, sf, "orders").selectExpr("o_orderkey * 1000000007 % 2305843009213693951 AS key"), "key", "n")
+
+
 @query("w03_number_dimension", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS sk FROM orders")
 def w03(spark, sf):
     return keys.dense_number(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "sk")
