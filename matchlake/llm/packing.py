@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from .common import shipped, staged
 
-GROUPS = 24
+GROUPS = 96
 #: Lengths from this part of the capacity on are large.
 LARGE = 1 / 3
 #: Steps of the linear programme; what it has then is used, the rest goes best-fit.
