@@ -35,7 +35,7 @@ STEMS = (6, 5, 4)
 #: The odds are fitted on about this many labelled rows, whole texts, chosen by a hash of the text.
 FIT_ROWS = 20_000
 #: Words whose score a worker remembers.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 300_000
 #: Chance of a segment this good in a clean text, below which it is reported.
 SIGNIFICANT = 0.01
 
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     sample = docs.select(F.col(key).alias("i"), F.col(text).alias("t")).where("t is not null") \
         .join(F.broadcast(few), "i").select("t", "y").dropDuplicates(["t", "y"])
     sample = staged(sample)
-    counted = sample.mapInPandas(_count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counted = staged(sample.mapInPandas(_count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     stems = F.col("f").endswith("*")
     total = counted.groupBy(stems.alias("stem")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
     model = Model()
