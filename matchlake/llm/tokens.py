@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import shipped, slices, texts
 
 #: Words a worker remembers; then it starts anew.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 END_ID = 1
 CAPACITY = 4096
 
@@ -53,8 +53,8 @@ class WordIds:
 
     def learn(self, new: list[bytes]) -> None:
         """Adds words to the memo."""
-        for a in range(0, len(new), 50_000):
-            part = new[a:a + 50_000]
+        for a in range(0, len(new), 5_000):
+            part = new[a:a + 5_000]
             got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
             counts = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
             flat = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=int(counts.sum()))
