@@ -165,11 +165,11 @@ class Silver:
         from ..operators.keys import canonical_id
         named = canonical_id(raw, self.referee_overrides(), "referee_id", "referee_id", "canonical_referee_id")
         return named.selectExpr(
-            "fixture_id", "referee_id", "type_id", "concat('Referee ', CAST(referee_id AS STRING)) AS common_name",
-            "concat('First ', CAST(referee_id AS STRING)) AS firstname",
-            "concat('Last ', CAST(referee_id AS STRING)) AS lastname",
-            "concat('Ref. ', CAST(referee_id AS STRING)) AS display_name",
-            "concat('ref-', CAST(fixture_id AS STRING)) AS image_path", "_ingested_at")
+            "fixture_id", "referee_id", "type_id", "concat('Referee ', CAST(referee_id AS STRING)) AS referee_common_name",
+            "concat('First ', CAST(referee_id AS STRING)) AS referee_firstname",
+            "concat('Last ', CAST(referee_id AS STRING)) AS referee_lastname",
+            "concat('Ref. ', CAST(referee_id AS STRING)) AS referee_display_name",
+            "concat('ref-', CAST(fixture_id AS STRING)) AS referee_image_path", "_ingested_at")
 
     def coaches(self) -> DataFrame:
         return self._teams_of().filter("(o_orderkey + side_no) % 9 <> 0").selectExpr(
@@ -269,7 +269,8 @@ class Silver:
     def teams(self) -> DataFrame:
         nation = self.table("nation")
         return (self.table("supplier").join(nation, F.expr("s_nationkey = n_nationkey"), "left").selectExpr(
-            "s_suppkey % 12 + 1 AS id", "s_suppkey AS row_no", "s_name AS name", "n_name AS country_name",
+            "s_suppkey % 12 + 1 AS id", "CAST(s_suppkey AS INT) AS _season_id",
+            "make_timestamp_ntz(2024, 1, 1, 0, 0, 0) AS _ingested_at", "s_name AS name", "n_name AS country_name",
             "CAST(1900 + s_suppkey % 100 AS INT) AS founded",
             "concat('logo-', CAST(s_suppkey % 12 + 1 AS STRING)) AS image_path",
             "concat('Arena ', CAST(s_suppkey % 12 + 1 AS STRING)) AS venue_name",

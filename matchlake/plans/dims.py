@@ -128,8 +128,8 @@ def dim_appearance_type(spark: SparkSession) -> DataFrame:
 
 def dim_team(teams: DataFrame, names: DataFrame, target: DataFrame | None = None) -> DataFrame:
     cols = ["name", "country_name", "founded", "image_path", "venue_name", "venue_city", "venue_capacity"]
-    latest = latest_per_key(teams.filter("id IS NOT NULL").select("id", "last_played_at", "row_no", *cols), ["id"],
-                            ["last_played_at", "row_no"])
+    latest = latest_per_key(teams.filter("id IS NOT NULL").select("id", "last_played_at", "_season_id", "_ingested_at", *cols), ["id"],
+                            ["last_played_at", "_season_id", "_ingested_at", "name"])
     source = overlay(
         latest.select(F.col("id").alias("team_id"), F.col("name").alias("team_name"),
                       F.col("country_name").alias("team_country"), F.col("founded").alias("team_founded_year"),
@@ -228,13 +228,13 @@ def dim_player(players: DataFrame, lineups: DataFrame, target: DataFrame | None
 
 
 def dim_referee(referees: DataFrame, match_referees: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    names = ["common_name", "firstname", "lastname", "display_name"]
-    shape = lambda df, key: df.select(F.col(key).alias("referee_id"), *[F.col(n).alias(f"referee_{n}") for n in names],
-                                      F.col("country_name").alias("referee_nationality"),
-                                      F.col("image_path").alias("referee_image_path"), "_ingested_at")
-    master = latest_per_key(shape(referees.filter("id IS NOT NULL"), "id"), ["referee_id"],
-                            ["_ingested_at", "referee_image_path"])
-    seen = shape(match_referees.withColumn("country_name", F.lit(None).cast("string")), "referee_id")
+    """The referee list, and those that only matches name; both as the silver models give them."""
+    names = ["common_name", "firstname", "lastname", "display_name", "image_path"]
+    listed = referees.filter("id IS NOT NULL").select(F.col("id").alias("referee_id"), *[F.col(n).alias(f"referee_{n}") for n in names],
+                                                      F.col("country_name").alias("referee_nationality"), "_ingested_at")
+    master = latest_per_key(listed, ["referee_id"], ["_ingested_at", "referee_image_path"])
+    seen = match_referees.select("referee_id", *[f"referee_{n}" for n in names], F.lit(None).cast("string").alias("referee_nationality"),
+                                 "_ingested_at")
     seen = seen.filter("referee_id IS NOT NULL").join(master.select("referee_id"), "referee_id", "left_anti")
     extra = latest_per_key(seen, ["referee_id"], ["_ingested_at", "referee_image_path"])
     return _merge("dim_referee", master.unionByName(extra).drop("_ingested_at"), target, "referee_id")

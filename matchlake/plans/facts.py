@@ -8,6 +8,7 @@ from ..functions import codes
 from ..functions.columns import int_from_double, is_finished, local_time
 from ..operators.keys import latest_per_key, resolve_fks
 from ..operators.shape import stack_by_key, two_sided
+from ..sources.storage import upsert_partitions
 
 SIDE_COLUMNS = ("team_id", "goals", "goals_ht", "goals_fixed", "corner_kicks", "ball_possession_pct", "red_cards",
                 "yellow_cards", "coach_id", "formation")
@@ -113,6 +114,21 @@ def fct_team_matches(sheet: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return resolve_fks(rows, _lookups(dims)).select(*TEAM_FACT_COLUMNS)
 
 
+def month_of(date_sk: Column) -> Column:
+    """Month of a date key, by which facts are stored; -1 without a date."""
+    return F.when(date_sk > 0, F.floor(date_sk / 100)).otherwise(-1).cast("int")
+
+
+def refresh_team_matches(path: str, sheet: DataFrame, dims: dict[str, DataFrame], as_of: str, days_back: int) -> None:
+    """Rebuild the window from ``days_back`` days before ``as_of`` on in the stored team fact, which is partitioned by month.
+
+    Only matches of the window are computed, and only months they are in, or were in before they moved, are rewritten.
+    """
+    recent = sheet.filter(F.col("starting_at").cast("date") >= F.date_sub(F.lit(as_of).cast("date"), days_back))
+    batch = fct_team_matches(recent, dims).withColumn("month", month_of(F.col("date_sk")))
+    upsert_partitions(sheet.sparkSession, path, batch, ["match_sk", "team_side_sk"], "month", moving=True)
+
+
 def appearances(lineups: DataFrame, details: DataFrame) -> DataFrame:
     """Line-up entries and statistics folded to one row per (fixture, player).
 

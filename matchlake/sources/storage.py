@@ -105,6 +105,10 @@ class VersionedTable:
         return self.write(batch if current is None else delete_insert(current, batch, key))
 
 
+#: Folder that stands for a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _file_system(spark: SparkSession, path: str):
     """(file system, path) of the folder ``path``."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -153,19 +157,19 @@ def _swap_partitions(spark: SparkSession, staged: str, path: str, column: str, e
 
 
 def _merge_partitions(spark: SparkSession, path: str, batch: DataFrame, partition: str, kept: Callable[[DataFrame], DataFrame],
-                      emptied: Callable[[str], bool], scope: Column | None = None) -> None:
-    """Rewrite the partitions that the batch or ``scope`` touches: what ``kept`` leaves of their old rows, and the batch."""
+                      emptied: Callable[[str], bool], scope: Column | None = None, more: DataFrame | None = None) -> None:
+    """Rewrite the partitions that the batch, ``scope`` or ``more`` touches: what ``kept`` leaves of their old rows, and the batch."""
     current = stored(spark, path, batch.schema)
     staged = f"{workspace(spark)}/staged"
     if current is None:
         write_table(batch, staged, [partition])
     else:
         touched = batch.select(F.col(partition).alias("_touched")).distinct()
-        near = current.join(touched, current[partition].eqNullSafe(touched["_touched"]), "left_semi")
         if scope is not None:
-            outside = current.filter(F.coalesce(scope, F.lit(False))).select(F.col(partition).alias("_touched")).distinct()
-            touched = touched.union(outside).distinct()
-            near = current.join(touched, current[partition].eqNullSafe(touched["_touched"]), "left_semi")
+            touched = touched.union(current.filter(F.coalesce(scope, F.lit(False))).select(F.col(partition).alias("_touched")))
+        if more is not None:
+            touched = touched.union(more)
+        near = current.join(touched.distinct(), current[partition].eqNullSafe(F.col("_touched")), "left_semi")
         write_table(kept(near).unionByName(batch, allowMissingColumns=True), staged, [partition])
     _swap_partitions(spark, staged, path, partition, emptied)
 
@@ -199,14 +203,21 @@ def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str,
                           lambda v: v in names, inside)
 
 
-def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str) -> None:
+def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str, moving: bool = False) -> None:
     """delete+insert that rewrites only the partitions the batch touches, NULL being one of them.
 
-    The key must contain, or determine, the partition column (a match keeps its date bucket). Which partitions are touched
-    is a semi join, so nothing is collected; a missing table is created.
+    The key must contain, or determine, the partition column, unless rows may be ``moving``: then the partitions that hold a
+    key of the batch so far are rewritten too (keys and partition column of the table are read for that). Which partitions
+    are touched is a semi join, so nothing is collected; a missing table is created.
     """
-    _merge_partitions(spark, path, batch, partition,
-                      lambda old: old.join(batch.select(*key).distinct(), list(key), "left_anti").select(*old.columns), lambda v: False)
+    keys = batch.select(*key).distinct()
+    held, left = None, set()
+    if moving and (current := stored(spark, path, batch.schema)) is not None:
+        held = current.select(*key, partition).join(keys, list(key), "left_semi").select(F.col(partition).alias("_touched")).distinct()
+        # no more values than the table has folders; those that lose all their rows are removed
+        left = {NULL_FOLDER if r[0] is None else str(r[0]) for r in held.toLocalIterator()}
+    _merge_partitions(spark, path, batch, partition, lambda old: old.join(keys, list(key), "left_anti").select(*old.columns),
+                      lambda v: v in left, more=held)
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], target: str, schemas: Sequence[str] | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..plans import marts
+from ..plans import dims, marts, silver
 from ..plans.facts import TEAM_FACT_COLUMNS, PLAYER_FACT_KEYS
 from ..plans.warehouse import warehouse
 from . import oracle as O
@@ -52,6 +52,35 @@ register("g19_mart_player_facts", _plan("mart_player_facts"), "SELECT * FROM mp"
          dates=["match_date", "player_birth_date"])
 
 
+def _documents(df, body, *envelope):
+    """Rows as bronze documents."""
+    return df.select(F.col("id").cast("bigint").alias("id"), F.to_json(F.expr(body)).alias("raw_json"), *envelope)
+
+
+@query("g03_dim_team_from_documents", "SELECT * FROM g_team")
+def dim_team_from_documents(spark, sf):
+    """Documents, silver, gold: what the team model gives is what the dimension reads."""
+    s = warehouse(spark, sf).silver
+    docs = _documents(s.teams(), """named_struct('id', id, 'name', name, 'founded', founded, 'image_path', image_path,
+        'last_played_at', date_format(last_played_at, 'yyyy-MM-dd HH:mm:ss'), 'country', named_struct('name', country_name),
+        'venue', named_struct('name', venue_name, 'city_name', venue_city, 'capacity', venue_capacity))""", "_season_id", "_ingested_at")
+    return dims.dim_team(silver.build("teams", docs), s.team_names())
+
+
+@query("g07_dim_referee_from_documents", "SELECT * FROM g_referee")
+def dim_referee_from_documents(spark, sf):
+    s = warehouse(spark, sf).silver
+    listed = _documents(s.referees(), """named_struct('id', id, 'common_name', common_name, 'firstname', firstname, 'lastname', lastname,
+        'display_name', display_name, 'image_path', image_path, 'country', named_struct('name', country_name))""", "_ingested_at")
+    calls = s.match_referees().withColumn("id", F.col("fixture_id"))
+    matches = _documents(calls, """named_struct('id', id, 'referees', array(named_struct('id', type_id, 'referee_id', referee_id, 'type_id', type_id,
+        'referee', named_struct('common_name', referee_common_name, 'firstname', referee_firstname, 'lastname', referee_lastname,
+        'display_name', referee_display_name, 'image_path', referee_image_path))))""", "_ingested_at",
+                         F.lit(None).cast("int").alias("_season_id"), F.lit(None).cast("date").alias("_fixture_date"))
+    seed = s.referee_overrides()
+    return dims.dim_referee(silver.build("referees", listed, seed), silver.build("fixture_referees", matches, seed))
+
+
 @query("g20_league_info", "SELECT league_name, league_logo, league_country_flag FROM g_league WHERE league_id = 1")
 def league_info(spark, sf):
     return marts.league_info(warehouse(spark, sf).get("dim_league"), 1)

@@ -57,9 +57,9 @@ def silver(spark):
         "*", "display_name AS firstname", "display_name AS lastname", "'N' AS nationality_name", "DATE '2000-01-01' AS date_of_birth",
         "'c' AS city_name", "'d' AS country_name", "1 AS height", "1 AS weight", "'i' AS image_path",
         "'Goalkeeper' AS detailed_position_name", "make_timestamp_ntz(2024, 1, 1 + v, 0, 0, 0) AS _ingested_at")
-    s["teams"] = make("id bigint, name string, last_played_at string, row_no bigint", [
+    s["teams"] = make("id bigint, name string, last_played_at string, _season_id int", [
         (21, "Older", "2020-01-01", 1), (21, "Newest", "2024-01-01", 2), (21, "Never", None, 3), (22, "Away", None, 4)]).selectExpr(
-        "*", "'c' AS country_name", "1900 AS founded", "'logo' AS image_path", "'v' AS venue_name", "'w' AS venue_city", "1 AS venue_capacity")
+        "*", "make_timestamp_ntz(2024, 1, 1, 0, 0, 0) AS _ingested_at", "'c' AS country_name", "1900 AS founded", "'logo' AS image_path", "'v' AS venue_name", "'w' AS venue_city", "1 AS venue_capacity")
     s["names"] = make("team_id bigint, display_name string, team_code string, team_short_name string", [(22, "Curated", "CUR", "Cur")])
     s["seasons"] = spark.sql("SELECT 1 AS id, '2024/2025' AS name, DATE '2024-07-01' AS starting_at, DATE '2025-06-30' AS ending_at, true AS is_current")
     s["venues"] = make("id bigint, name string", [(5, "Home Park")]).selectExpr(
@@ -81,7 +81,9 @@ def star(spark, silver):
         "dim_match": D.dim_match(s["fixtures"], s["stages"], s["participants"], s["scores"], s["names"]),
         "dim_player": D.dim_player(s["players"], s["lineups"]), "dim_stadium": D.dim_stadium(s["venues"], s["fixtures"]),
         "dim_referee": D.dim_referee(person(s["referees"].selectExpr("referee_id AS id")).withColumn("country_name", F.lit("x")).limit(0),
-                                     person(s["referees"])),
+                                     s["referees"].selectExpr("*", "'n' AS referee_common_name", "'f' AS referee_firstname",
+                                                              "'l' AS referee_lastname", "'d' AS referee_display_name",
+                                                              "'i' AS referee_image_path", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS _ingested_at")),
         "dim_coach": D.dim_coach(person(s["coaches"]).withColumn("nationality_id", F.lit(1).cast("bigint")), countries),
         "dim_league": D.dim_league(leagues, countries), "dim_formation": D.dim_formation(s["formations"]),
         "dim_position": D.dim_position(s["lineups"]), "dim_match_result": D.dim_match_result(spark),

@@ -59,6 +59,15 @@ def test_partition_upsert_with_null_and_text_partitions(spark, tmp_path):
         [(1, "a", "01"), (2, "b", None), (3, "C", None), (8, "h", "01"), (9, "i", None)], key=str)
 
 
+def test_moving_rows_leave_their_old_partition(spark, tmp_path):
+    path = str(tmp_path / "m")
+    make = lambda data: spark.createDataFrame(data, "id bigint, v string, p int")
+    storage.upsert_partitions(spark, path, make([(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", None), (5, "e", 3)]), ["id"], "p")
+    storage.upsert_partitions(spark, path, make([(2, "B", 1), (3, "C", 9), (4, "D", 1)]), ["id"], "p", moving=True)
+    assert rows(storage.stored(spark, path, make([]).schema)) == [(1, "a", 1), (2, "B", 1), (3, "C", 9), (4, "D", 1), (5, "e", 3)]
+    assert sorted(p.name for p in (tmp_path / "m").iterdir() if p.is_dir()) == ["p=1", "p=3", "p=9"]
+
+
 def test_stream_rewrites_touched_partitions_only(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     table(spark, BASE).coalesce(1).write.parquet(src)
