@@ -211,5 +211,111 @@ MODELS = {
 }
 
 
+# Deeper tables of the older feed: an array of teams with players with statistics, tables in groups inside an array, the four
+# leaderboards, and line-ups in two arrays. Field names, paths and types are fixed values of that feed.
+_TEAM = "team_id=team.id:int team_name=team.name:string team_logo=team.logo:string"
+MATCH_PLAYER = (
+    "minutes_played=games.minutes:int shirt_number=games.number:int position=games.position:string rating=games.rating:string "
+    "captain=games.captain:boolean substitute=games.substitute:boolean offsides:int shots_total=shots.total:int shots_on=shots.on:int "
+    "goals=goals.total:int goals_conceded=goals.conceded:int assists=goals.assists:int saves=goals.saves:int "
+    "passes_total=passes.total:int passes_key=passes.key:int passes_accuracy=passes.accuracy:string tackles_total=tackles.total:int "
+    "tackles_blocks=tackles.blocks:int interceptions=tackles.interceptions:int duels_total=duels.total:int duels_won=duels.won:int "
+    "dribbles_attempts=dribbles.attempts:int dribbles_success=dribbles.success:int dribbles_past=dribbles.past:int "
+    "fouls_drawn=fouls.drawn:int fouls_committed=fouls.committed:int yellow_cards=cards.yellow:int red_cards=cards.red:int "
+    "penalty_won=penalty.won:int penalty_committed=penalty.committed:int penalty_scored=penalty.scored:int "
+    "penalty_missed=penalty.missed:int penalty_saved=penalty.saved:int")
+TABLE_LEAGUE = "league_id_json=league.id:int league_name=league.name:string season_json=league.season:int"
+TABLE_ROW = (
+    "rank:int " + _TEAM + " points:int goal_diff=goalsDiff:int standing_group=group:string form:string status:string description:string "
+    + " ".join(f"{out}played={side}.played:int {out}wins={side}.win:int {out}draws={side}.draw:int {out}losses={side}.lose:int "
+               f"{out}goals_for={side}.goals.for:int {out}goals_against={side}.goals.against:int"
+               for side, out in (("all", ""), ("home", "home_"), ("away", "away_")))
+    + " updated_at=update:timestamp")
+MATCH = "kick_off=fixture.date:timestamp league_id=league.id:int season=league.season:int"
+LINEUP_TEAM = (_TEAM + " formation:string coach_id=coach.id:int coach_name=coach.name:string coach_photo=coach.photo:string")
+LINEUP_PLAYER = ("player_id=player.id:int player_name=player.name:string player_number=player.number:int player_position=player.pos:string "
+                 "player_grid=player.grid:string")
+LEADERBOARDS = ("topscorers", "topassists", "topyellowcards", "topredcards")
+
+
+def fields(text: str) -> list[tuple[str, str, str]]:
+    """(column, path, type) of a field list."""
+    out = []
+    for part in text.split():
+        name, kind = part.rsplit(":", 1)
+        column, _, path = name.partition("=")
+        out.append((column, path or column, kind))
+    return out
+
+
+def shape(text: str, **arrays: str) -> str:
+    """Struct type of the objects that hold these fields, and further arrays by path."""
+    tree: dict = {}
+    for path, kind in [*((p, k) for _, p, k in fields(text)), *((p.replace("__", "."), t) for p, t in arrays.items())]:
+        *above, leaf = path.split(".")
+        node = tree
+        for a in above:
+            node = node.setdefault(a, {})
+        node[leaf] = "string" if kind == "timestamp" else kind
+    render = lambda node: "struct<" + ", ".join(f"`{n}`: {render(v) if isinstance(v, dict) else v}" for n, v in node.items()) + ">"
+    return render(tree)
+
+
+def picked(text: str, base: str) -> list[Column]:
+    """The fields of an object as typed columns."""
+    return [F.col(f"{base}." + ".".join(f"`{p}`" for p in path.split("."))).cast("timestamp_ntz" if kind == "timestamp" else kind).alias(column)
+            for column, path, kind in fields(text)]
+
+
+def names(text: str) -> list[str]:
+    return [column for column, _, _ in fields(text)]
+
+
+def match_attributes(docs: DataFrame) -> DataFrame:
+    """Kick-off, league and season of each match document, which the detail tables of a match carry along."""
+    return docs.select("fixture_id", F.from_json("raw_json", shape(MATCH)).alias("m")).select("fixture_id", *picked(MATCH, "m"))
+
+
+def match_player_statistics(docs: DataFrame, matches: DataFrame) -> DataFrame:
+    """All statistics of a player in a match, with the match's attributes."""
+    person = "player_id=player.id:int player_name=player.name:string player_photo=player.photo:string"
+    players = shape(person, statistics=f"array<{shape(MATCH_PLAYER)}>")
+    return (docs.select("fixture_id", "_ingested_at", F.explode(F.from_json("raw_json", f"array<{shape(_TEAM, players=f'array<{players}>')}>")).alias("t"))
+            .select("fixture_id", "_ingested_at", *picked(_TEAM, "t"), F.explode("t.players").alias("p"))
+            .select("fixture_id", "_ingested_at", *names(_TEAM), *picked(person, "p"), F.explode("p.statistics").alias("s"))
+            .select("fixture_id", "_ingested_at", *names(_TEAM), *names(person), *picked(MATCH_PLAYER, "s"))
+            .join(match_attributes(matches), "fixture_id"))
+
+
+def league_table(docs: DataFrame) -> DataFrame:
+    """All rows of all groups of a season's table."""
+    kind = f"array<{shape(TABLE_LEAGUE, league__standings=f'array<array<{shape(TABLE_ROW)}>>')}>"
+    return (docs.select("season", "league_id", "_ingested_at", F.explode(F.from_json("raw_json", kind)).alias("d"))
+            .select("season", "league_id", "_ingested_at", *picked(TABLE_LEAGUE, "d"), F.explode(F.flatten("d.league.standings")).alias("s"))
+            .select("season", "league_id", "_ingested_at", *names(TABLE_LEAGUE), *picked(TABLE_ROW, "s")))
+
+
+def leaderboard(docs: DataFrame) -> DataFrame:
+    """A leaderboard: each player of a season and league once, with the last of the statistics blocks."""
+    kind = f"array<{shape(_PERSON, statistics=f'array<{shape(_SEASON_STATS)}>')}>"
+    rows = docs.select("season", "league_id", "_ingested_at", F.posexplode(F.from_json("raw_json", kind)).alias("pos", "e"))
+    last = rows.where("size(e.statistics) > 0").select(
+        "season", "league_id", "_ingested_at", "pos", F.size("e.statistics").alias("blocks"), *picked(_PERSON, "e"),
+        F.element_at("e.statistics", -1).alias("s"))
+    flat = last.select("season", "league_id", "_ingested_at", "pos", "blocks", *names(_PERSON), *picked(_SEASON_STATS, "s"))
+    return latest_per_key(flat, ["season", "league_id", "player_id"], ["blocks", "_ingested_at", "pos"]).drop("pos", "blocks")
+
+
+def match_lineups(docs: DataFrame, matches: DataFrame) -> DataFrame:
+    """Starters and substitutes of both teams, with team, coach and match; substitutes have no place in the grid."""
+    person = f"array<{shape(LINEUP_PLAYER)}>"
+    teams = docs.select("fixture_id", "_ingested_at", F.explode(F.from_json(
+        "raw_json", f"array<{shape(LINEUP_TEAM, startXI=person, substitutes=person)}>")).alias("t"))
+    tag = lambda column, starter: F.transform(F.coalesce(F.col(column), F.array()), lambda p: F.struct(p.alias("p"), F.lit(starter).alias("is_starter")))
+    rows = teams.select("fixture_id", "_ingested_at", *picked(LINEUP_TEAM, "t"), F.inline(F.concat(tag("t.startXI", True), tag("t.substitutes", False))))
+    flat = rows.select("fixture_id", "_ingested_at", *names(LINEUP_TEAM), *picked(LINEUP_PLAYER, "p"), "is_starter").where("player_id IS NOT NULL")
+    return flat.withColumn("player_grid", F.when(F.col("is_starter"), F.col("player_grid"))).join(match_attributes(matches), "fixture_id")
+
+
 def build(name: str, docs: DataFrame) -> DataFrame:
     return flatten(wrap_arrays(docs), MODELS[name])

@@ -175,3 +175,88 @@ for _name in legacy.MODELS:
     _sql, _dates, _times = expected(_name, legacy.MODELS)
     register(f"ar15_{_name}", (lambda n: lambda spark, sf: legacy.build(n, documents(spark, sf, n, legacy.MODELS)))(_name), _sql,
              dates=_dates, times=_times)
+
+
+# deeper tables of the older feed ------------------------------------------------------------------------------------
+
+def _object(text: str, key: str, offset: int, *more: tuple[str, str]) -> str:
+    """A generated object with the fields of a list."""
+    return _struct([*((path, value(kind, key, offset + j, False, "spark")) for j, (_, path, kind) in enumerate(legacy.fields(text))), *more])
+
+
+def _typed(text: str, key: str, offset: int) -> list[str]:
+    return [f"{value(kind, key, offset + j, True, 'sql')} AS {column}" for j, (column, _, kind) in enumerate(legacy.fields(text))]
+
+
+def _bare(spark, sf, body: str) -> DataFrame:
+    """Orders as documents of the older feed, in envelopes of season, league and fixture."""
+    e = envelope("spark")
+    rows = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("CAST(o_orderkey AS BIGINT) AS k")
+    return rows.selectExpr("k AS fixture_id", f"{e['@season']} AS season", f"{e['@league_id']} AS league_id",
+                           f"{e['_ingested_at']} AS _ingested_at", f"to_json({body}) AS raw_json")
+
+
+_K = "(SELECT CAST(o_orderkey AS BIGINT) AS k FROM orders)"
+_LOADED = f"{envelope('sql')['_ingested_at']} AS _ingested_at"
+_MATCH_DOC = lambda spark, sf: _bare(spark, sf, _object(legacy.MATCH, "k", 700))
+_PLAYER = "player_id=player.id:int player_name=player.name:string player_photo=player.photo:string"
+_each = lambda n, name, body: f"transform(sequence(0, {n - 1}), {name} -> {body})"
+
+
+def _match_players(spark, sf):
+    stats = _each(2, "r", _object(legacy.MATCH_PLAYER, "(k * 1000 + p * 100 + q * 10 + r)", 0))
+    players = _each(2, "q", _object(_PLAYER, "(k * 100 + p * 10 + q)", 100, ("statistics", stats)))
+    return legacy.match_player_statistics(_bare(spark, sf, _each(2, "p", _object(legacy._TEAM, "(k * 10 + p)", 200, ("players", players)))), _MATCH_DOC(spark, sf))
+
+
+register("ar02_match_player_statistics", _match_players, f"""
+SELECT k AS fixture_id, {", ".join([_LOADED, *_typed(legacy._TEAM, "(k * 10 + p)", 200), *_typed(_PLAYER, "(k * 100 + p * 10 + q)", 100),
+    *_typed(legacy.MATCH_PLAYER, "(k * 1000 + p * 100 + q * 10 + r)", 0), *_typed(legacy.MATCH, "k", 700)])}
+FROM {_K}, range(2) a(p), range(2) b(q), range(2) c(r)""", times=["_ingested_at", "kick_off"])
+
+
+def _league_table(spark, sf):
+    rows = _each(2, "q", _each(3, "r", _object(legacy.TABLE_ROW, "(k * 100 + q * 10 + r)", 0)))
+    return legacy.league_table(_bare(spark, sf, f"array({_object(legacy.TABLE_LEAGUE, 'k', 300, ('league.standings', rows))})"))
+
+
+register("ar03_league_table", _league_table, f"""
+SELECT {envelope('sql')['@season']} AS season, {envelope('sql')['@league_id']} AS league_id, {", ".join([
+    _LOADED, *_typed(legacy.TABLE_LEAGUE, "k", 300), *_typed(legacy.TABLE_ROW, "(k * 100 + q * 10 + r)", 0)])}
+FROM {_K}, range(2) b(q), range(3) c(r)""", times=["_ingested_at", "updated_at"])
+
+
+def _leaders(salt: int):
+    """Documents of a leaderboard; a player id is unique in its document, and the last of two blocks counts."""
+    person = legacy._PERSON.replace("player_id=player.id:int ", "")
+
+    def run(spark, sf):
+        blocks = _each(2, "r", _object(legacy._SEASON_STATS, "(k * 100 + p * 10 + r)", salt))
+        body = _each(2, "p", _object(person, "(k * 10 + p)", salt + 100, ("player.id", "CAST(k * 2 + p AS INT)"), ("statistics", blocks)))
+        return legacy.leaderboard(_bare(spark, sf, body))
+
+    return run, f"""
+SELECT {envelope('sql')['@season']} AS season, {envelope('sql')['@league_id']} AS league_id, CAST(k * 2 + p AS INTEGER) AS player_id, {", ".join([
+    _LOADED, *_typed(person, "(k * 10 + p)", salt + 100), *_typed(legacy._SEASON_STATS, "(k * 100 + p * 10 + 1)", salt)])}
+FROM {_K}, range(2) a(p)"""
+
+
+for _salt, _board in enumerate(legacy.LEADERBOARDS, 1):
+    _fn, _sql = _leaders(_salt)
+    register(f"ar05_{_board}", _fn, _sql, times=["_ingested_at"])
+
+
+def _match_lineups(spark, sf):
+    eleven = _each(3, "q", _object(legacy.LINEUP_PLAYER, "(k * 100 + p * 10 + q)", 0))
+    bench = f"CASE WHEN k % 3 <> 0 THEN {_each(2, 'q', _object(legacy.LINEUP_PLAYER, '(k * 100 + p * 10 + q + 5)', 0))} END"
+    body = _each(2, "p", _object(legacy.LINEUP_TEAM, "(k * 10 + p)", 100, ("startXI", eleven), ("substitutes", bench)))
+    return legacy.match_lineups(_bare(spark, sf, body), _MATCH_DOC(spark, sf))
+
+
+_LINED = "(k * 100 + p * 10 + q)"
+register("ar06_match_lineups", _match_lineups, f"""
+SELECT * REPLACE (CASE WHEN is_starter THEN player_grid END AS player_grid) FROM (
+  SELECT k AS fixture_id, {", ".join([_LOADED, *_typed(legacy.LINEUP_TEAM, "(k * 10 + p)", 100), *_typed(legacy.LINEUP_PLAYER, _LINED, 0),
+    *_typed(legacy.MATCH, "k", 700)])}, q < 5 AS is_starter
+  FROM {_K}, range(2) a(p), (VALUES (0), (1), (2), (5), (6)) b(q) WHERE q < 5 OR k % 3 <> 0)
+WHERE player_id IS NOT NULL""", times=["_ingested_at", "kick_off"])
