@@ -9,10 +9,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry
+from matchlake.verification import load
 from verify import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = load()
 CORE = [n for n in QUERIES if n.split("_")[0] in {
     "g01", "g05", "g06", "g16", "g17", "g18", "g19", "q04", "q06", "q15", "q22", "q27", "q40", "q43", "q54", "q58", "q65", "q71", "m20",
     "m26", "m36", "src03", "src06", "j06", "w06", "u02", "u14", "ar10", "dq", "st01"}]
@@ -36,6 +37,7 @@ def test_matches_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
