@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -66,6 +67,15 @@ def staged(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Gives memory that a batch has left free back to the system; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(lengths: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose lengths add up to at most `most`; a longer row stands alone."""
     if not len(lengths):
@@ -77,6 +87,7 @@ def slices(lengths: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         stop = max(stop, start + 1)
         yield start, stop
         start = stop
+    trim()
 
 
 def texts(column: pa.Array) -> tuple[list[bytes | None], np.ndarray]:
