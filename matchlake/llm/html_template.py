@@ -4,7 +4,8 @@ A page is a row of tokens: tags with their path of open elements, and text block
 equally often on every one of its pages share an occurrence vector; vectors are compared by a sum of per-page random numbers,
 so they are found by one aggregation and a host's pages never have to meet. Such equivalence classes are valid if enough
 pages have them and their spans nest; together they are the template. Text blocks that belong to a valid class are template
-text, what lies between template tokens are the slots, and the slots of the article are kept.
+text and go on every page; what lies in a template element besides is its slots. The main slots, which are kept, are chosen by
+how much text the host's slots hold; article and main marks help to name them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,12 @@ from .common import mix, shipped, staged
 PAGES, SUPPORT = 3, 0.5
 #: Part of a block's text in links from which it is a list of links, on pages that mark no article.
 LINKED = 0.5
+#: Part of the text outside the template from which marked elements are the main slot, and of the largest from which one counts.
+MARKED = 0.25
+
+# Kinds of tokens, and the token of the page itself.
+TEXT, OTHER, ARTICLE, MAIN, WHOLE = -1, 0, 1, 2, 0
+MARKS = {"article": ARTICLE, "main": MAIN}
 
 # Fixed values of the HTML standard and of common page markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +57,7 @@ NAMES = frozenset("""ad ads adbox advert adverts advertisement advertising adsen
 PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=/?[a-z])[^>]*(?:>|\Z)", re.I | re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+DIGITS = re.compile(r"\d+")
 NAME_PARTS = re.compile(r"[a-z]+|\d+")
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -78,34 +86,60 @@ def marks(attributes: str) -> tuple[str, bool]:
 
 @dataclass
 class Block:
-    """A run of text between block tags."""
+    """A run of text between block tags, and the number of the element it stands in (-1: none)."""
 
     token: int
     text: str
     linked: int
     dropped: bool
-    article: bool
-    main: bool
+    at: int
+
+    @property
+    def plain(self) -> int:
+        """Characters that count for the size of a slot."""
+        return 0 if self.dropped else max(len(self.text) - self.linked, 0)
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[int, bool]], bool, bool]:
-    """Text blocks, all tokens in order (and whether each is text), and whether there is an article or a main element."""
-    blocks: list[Block] = []
-    order: list[tuple[int, bool]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, dropped
-    seen_article = seen_main = False
-    inside = {"article": 0, "main": 0, "a": 0}
+@dataclass
+class Page:
+    """Elements in page order with the number of the one around each (-1: none), and the text blocks."""
+
+    tokens: list[int]
+    parents: list[int]
+    kinds: list[int]
+    places: list[int]
+    blocks: list[Block]
+    block_places: list[int]
+
+    def sizes(self, template: frozenset[int]) -> list[int]:
+        """Plain characters outside the template in each element, and in the page at the end."""
+        out = [0] * (len(self.tokens) + 1)
+        for b in self.blocks:
+            if b.token not in template:
+                out[b.at] += b.plain
+        for k in range(len(self.tokens) - 1, -1, -1):
+            out[self.parents[k]] += out[k]
+        return out
+
+
+def parse(page: str) -> Page:
+    """Elements and text blocks of a page. Digits in classes and ids do not count for tokens: they number posts."""
+    out = Page([], [], [], [], [], [])
+    stack: list[tuple[str, int, bool]] = []  # tag, element, dropped
+    inside = {"article": 0, "a": 0}
     held: list[str] = []
-    linked = 0
+    linked = place = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, place
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
             if text:
-                path = stack[-1][1] if stack else ""
-                blocks.append(Block(token(path, text), text, linked, bool(stack and stack[-1][2]), inside["article"] > 0, inside["main"] > 0))
-                order.append((blocks[-1].token, True))
+                at = stack[-1][1] if stack else -1
+                path = out.tokens[at] if stack else WHOLE
+                out.blocks.append(Block(token(str(path), text), text, linked, bool(stack and stack[-1][2]), at))
+                place += 1
+                out.block_places.append(place)
             held.clear()
         linked = 0
 
@@ -150,36 +184,74 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, bool]], bool, bool]:
                 break
             if stack[k][0] in SCOPE:
                 break
-        label, out = marks(found["attributes"])
-        above = stack[-1] if stack else ("", "", False)
-        path = f"{above[1]}/{tag}{'.' + label if label else ''}"
-        seen_article |= tag == "article"
-        seen_main |= tag == "main"
         if tag in VOID:
             continue
-        out = out and tag not in ("html", "body", "article", "main") or out and tag == "article" and inside["article"] > 0
-        dropped = above[2] or out or tag in ASIDE or tag == "header" and not inside["article"]
+        label, named = marks(found["attributes"])
+        above = stack[-1] if stack else ("", -1, False)
+        named = named and tag not in ("html", "body", "article", "main") or named and tag == "article" and inside["article"] > 0
+        dropped = above[2] or named or tag in ASIDE or tag == "header" and not inside["article"]
         if above[0] == "header" and inside["article"] and tag not in HEADINGS and tag not in ("div", "hgroup", "header", "section"):
             dropped = dropped or tag in BLOCK
         if tag in inside:
             inside[tag] += 1
-        stack.append((tag, path, dropped))
-        order.append((token(path), False))
+        path = out.tokens[above[1]] if stack else WHOLE
+        stack.append((tag, len(out.tokens), dropped))
+        out.tokens.append(token(str(path), "<", tag, DIGITS.sub("0", label)))
+        out.parents.append(above[1])
+        out.kinds.append(MARKS.get(tag, OTHER))
+        place += 1
+        out.places.append(place)
     if at < len(page):
         text(page[at:])
     flush()
-    return blocks, order, seen_article, seen_main
+    return out
 
 
-def main_text(page: str, template: frozenset[int]) -> str:
-    """The article's blocks in page order; without an article element, the blocks that are neither template nor links."""
-    blocks, _, article, main = parse(page)
-    if article:
-        kept = [b.text for b in blocks if b.article and not b.dropped]
-    else:
-        kept = [b.text for b in blocks if not b.dropped and (b.main or not main) and b.token not in template
-                and (main or b.linked <= LINKED * len(b.text))]
-    return "\n".join(kept)
+def main_slots(tags: dict[int, tuple[int, int, int]]) -> tuple[set[int], set[int]]:
+    """Tokens of the elements whose slots are the main text, and of articles that are not, out of all elements (token:
+    token around it, kind, plain characters of its slots). Marks name the main slot if they hold enough of the text; an
+    article with little of it is a teaser or a card. Without marks that do, all slots are main: the token `WHOLE`."""
+    def outermost(kind: int) -> dict[int, int]:
+        """Elements of a kind that are in no other of it, with their sizes."""
+        known = {WHOLE: False}
+        for t in tags:
+            way = []
+            while t not in known:
+                way.append(t)
+                t = tags[t][0]
+            covered = known[t] or t != WHOLE and tags[t][1] == kind
+            for x in reversed(way):
+                known[x] = covered
+                covered = covered or tags[x][1] == kind
+        return {t: size for t, (_, k, size) in tags.items() if k == kind and not known[t]}
+
+    articles = outermost(ARTICLE)
+    for marked in (articles, outermost(MAIN)):
+        if marked and sum(marked.values()) >= MARKED * tags[WHOLE][2]:
+            main = {t for t, size in marked.items() if size >= MARKED * max(marked.values())}
+            return main, set(articles) - main
+    return {WHOLE}, set(articles)
+
+
+def main_text(page: str, template: frozenset[int], main: frozenset[int] = frozenset(), lesser: frozenset[int] = frozenset()) -> str:
+    """The blocks of the main slots in page order, without the host's template text.
+
+    `main` and `lesser` are the host's `main_slots`; a page that has none of the main ones is judged by its own elements.
+    Lists of links are no text where no mark names the slot.
+    """
+    found = parse(page)
+    if WHOLE not in main and main.isdisjoint(found.tokens):
+        sizes = found.sizes(template)
+        tags = {WHOLE: (WHOLE, OTHER, sizes[-1])}
+        for t, parent, kind, size in zip(found.tokens, found.parents, found.kinds, sizes):
+            tags[t] = (found.tokens[parent] if parent >= 0 else WHOLE, kind, size + (tags[t][2] if t in tags else 0))
+        main, lesser = main_slots(tags)
+    whole = WHOLE in main
+    kept = [False] * len(found.tokens) + [whole]
+    for k, (t, parent) in enumerate(zip(found.tokens, found.parents)):
+        kept[k] = t in main or t not in lesser and kept[parent]
+    return "\n".join(b.text for b in found.blocks if kept[b.at] and not b.dropped and b.token not in template
+                     and (not whole or b.linked <= LINKED * len(b.text)))
 
 
 def host_of(url: str) -> Column:
@@ -188,36 +260,36 @@ def host_of(url: str) -> Column:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token) with the sums over pages of occurrence times the page's number, pages, and places, summed by batch."""
+    """(host, token, kind, token around it) with the sums over pages of occurrence times the page's number, pages, first places
+    and plain characters in it, summed by batch; the vector sums wrap around. `WHOLE` stands for the page itself."""
     for batch in batches:
-        hosts, tokens, numbers, places, is_text = [], [], [], [], []
+        sums: dict[tuple[str, int], list[int]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            number = int(mix(np.array([token(page)], dtype=np.int64).view(np.uint64), 5).view(np.int64)[0])
-            order = parse(page)[1]
-            hosts += [host] * len(order)
-            numbers += [number] * len(order)
-            places += range(len(order))
-            tokens += [t for t, _ in order]
-            is_text += [x for _, x in order]
-        if not hosts:
+            number = int(mix(np.array([token(page)], dtype=np.int64).view(np.uint64), 5)[0])
+            found = parse(page)
+            sizes = found.sizes(frozenset())
+            mine = {WHOLE: [OTHER, WHOLE, 1, 0, sizes[-1]]}
+            for t, parent, kind, place, size in zip(found.tokens, found.parents, found.kinds, found.places, sizes):
+                seen = mine.setdefault(t, [kind, found.tokens[parent] if parent >= 0 else WHOLE, 0, place, 0])
+                seen[2] += 1
+                seen[4] += size
+            for b, place in zip(found.blocks, found.block_places):
+                seen = mine.setdefault(b.token, [TEXT, found.tokens[b.at] if b.at >= 0 else WHOLE, 0, place, 0])
+                seen[2] += 1
+                seen[4] += b.plain
+            for t, (kind, parent, times, place, size) in mine.items():
+                total = sums.setdefault((host, t), [kind, parent, 0, 0, 0, 0])
+                total[2] = (total[2] + number * times) & 0xFFFFFFFFFFFFFFFF
+                total[3] += 1
+                total[4] += place
+                total[5] += size
+        if not sums:
             continue
-        frame = pd.DataFrame({"host": hosts, "token": tokens, "number": numbers, "place": places, "text": is_text})
-        per_page = frame.groupby(["host", "token", "text", "number"], sort=False).agg(k=("place", "size"), place=("place", "min")).reset_index()
-        per_page["v"] = (per_page["number"].to_numpy(np.int64).view(np.uint64) * per_page["k"].to_numpy(np.int64).view(np.uint64)).view(np.int64)
-        out = _fold(per_page)
-        yield pa.RecordBatch.from_pandas(out, preserve_index=False)
-
-
-def _fold(per_page: pd.DataFrame) -> pd.DataFrame:
-    """Sums of one batch; the vector sums wrap around."""
-    order = per_page.sort_values(["host", "token", "text"], kind="stable").reset_index(drop=True)
-    key = order[["host", "token", "text"]]
-    first = np.flatnonzero(np.concatenate([[True], (key.iloc[1:].to_numpy() != key.iloc[:-1].to_numpy()).any(axis=1)]))
-    out = key.iloc[first].reset_index(drop=True)
-    out["v"] = np.add.reduceat(order["v"].to_numpy(np.int64).view(np.uint64), first).view(np.int64)
-    out["pages"] = np.diff(np.append(first, len(order)))
-    out["place"] = np.add.reduceat(order["place"].to_numpy(np.int64), first)
-    return out
+        columns = list(zip(*sums.values()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([h for h, _ in sums], pa.string()), pa.array([t for _, t in sums], pa.int64()), pa.array(columns[0], pa.int32()),
+             pa.array(columns[1], pa.int64()), pa.array(np.array(columns[2], dtype=np.uint64).view(np.int64)),
+             *(pa.array(c, pa.int64()) for c in columns[3:])], names=["host", "token", "kind", "parent", "v", "pages", "place", "size"])
 
 
 def nest(classes: list[tuple[int, float, float, int]]) -> set[int]:
@@ -233,25 +305,41 @@ def nest(classes: list[tuple[int, float, float, int]]) -> set[int]:
 
 
 def _template(frame: pd.DataFrame) -> pd.DataFrame:
-    """The text tokens of a host's valid classes. Its size is bounded by the length of the host's pages."""
+    """A host's template: text tokens of its valid classes, and which of their elements hold the main slots if any of them is
+    marked. Its size is bounded by the length of the host's pages."""
     frame = frame.assign(at=frame["place"] / frame["pages"])
-    classes = frame.groupby("v").agg(first=("at", "min"), last=("at", "max"), pages=("pages", "max"), tags=("text", lambda x: (~x).sum()))
-    valid = nest([(v, r.first_, r.last_, r.pages) for v, r in zip(classes.index, classes.rename(columns={"first": "first_", "last": "last_"}).itertuples())
-                  if r.tags])
-    mine = frame[frame["text"] & frame["v"].isin(list(valid))]
-    return pd.DataFrame({"host": [frame["host"].iloc[0]], "template": [sorted(int(t) for t in mine["token"])], "classes": [len(valid)]})
+    classes = frame.groupby("v").agg(first=("at", "min"), last=("at", "max"), pages=("pages", "max"))
+    valid = nest(list(classes.itertuples(name=None)))
+    frame = frame[frame["v"].isin(list(valid))]
+    texts = frame[frame["kind"] == TEXT]
+    elements = frame[frame["kind"] != TEXT].set_index("token")
+    size, parent, kind = elements["size"].to_dict(), elements["parent"].to_dict(), elements["kind"].to_dict()
+    for around, chars in zip(texts["parent"], texts["size"]):  # template text is in no slot
+        while around in size:
+            size[around] -= chars
+            if around == WHOLE:
+                break
+            around = parent[around]
+    main: set[int] = set()
+    lesser: set[int] = set()
+    if WHOLE in size and any(k in (ARTICLE, MAIN) for k in kind.values()):
+        # an element around a valid one that is itself in no valid class is passed over
+        main, lesser = main_slots({t: (parent[t] if parent[t] in size else WHOLE, kind[t], size[t]) for t in size})
+    return pd.DataFrame({"host": [frame["host"].iloc[0]], "template": [sorted(int(t) for t in texts["token"])],
+                         "main": [sorted(int(t) for t in main)], "lesser": [sorted(int(t) for t in lesser)], "classes": [len(valid)]})
 
 
 def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """`host`, `template` (its text tokens), `classes` of every host with enough pages."""
+    """`host`, `template` (its text tokens), `main` and `lesser` (its `main_slots`), `classes` of every host with enough pages."""
     shipped(pages.sparkSession)
     known = pages.select(host_of(url).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("page")).where("host <> ''")
     counted = known.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
-    seen = known.mapInArrow(_vectors, "host string, token long, text boolean, v long, pages long, place long") \
-        .groupBy("host", "token", "text").agg(_wrapping_sum("v").alias("v"), F.sum("pages").alias("pages"), F.sum("place").alias("place")) \
+    seen = known.mapInArrow(_vectors, "host string, token long, kind int, parent long, v long, pages long, place long, size long") \
+        .groupBy("host", "token", "kind", "parent") \
+        .agg(_wrapping_sum("v").alias("v"), F.sum("pages").alias("pages"), F.sum("place").alias("place"), F.sum("size").alias("size")) \
         .where(F.col("pages") >= PAGES)
     return seen.join(counted, "host").where(F.col("pages") >= SUPPORT * F.col("n")).drop("n") \
-        .groupBy("host").applyInPandas(_template, "host string, template array<long>, classes int")
+        .groupBy("host").applyInPandas(_template, "host string, template array<long>, main array<long>, lesser array<long>, classes int")
 
 
 def _wrapping_sum(name: str) -> Column:
@@ -265,19 +353,23 @@ def _wrapping_sum(name: str) -> Column:
 def extract(pages: DataFrame, *, url: str = "url", html: str = "html", out: str = "main_text") -> DataFrame:
     """`pages` with the text column `out`, empty if a page has no main text.
 
-    Character references are decoded, white space inside a block is one space, blocks are joined by a line feed. Where a page
-    marks an article, all of it counts but what is marked as something else inside; elsewhere template text and link lists go.
-    A null page is empty; a null or odd address has no host and no template; repeated rows are each answered; a column already
+    Character references are decoded, white space inside a block is one space, blocks are joined by a line feed. Text of the
+    host's template goes on every page. Of the slots, the main ones stay: those of article or main elements if they hold enough
+    of the host's text (of the page's, where the host has no such template), else all but those of lesser articles and link
+    lists; what is marked as something else inside goes. A null page is empty; a null or odd address has no host and no template; repeated rows are each answered; a column already
     called `out` is replaced; an empty table gives an empty result.
     """
     shipped(pages.sparkSession)
     found = staged(templates(pages, url=url, html=html))  # read again, so Spark knows its size: small ones are broadcast
 
     @F.arrow_udf("string")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for page, template in batches:
-            yield pa.array([main_text(p, frozenset(t or ())) if p else "" for p, t in zip(page.to_pylist(), template.to_pylist())], pa.string())
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for page, *known in batches:
+            rows = zip(page.to_pylist(), *(k.to_pylist() for k in known))
+            yield pa.array([main_text(p, *(frozenset(k or ()) for k in of)) if p else "" for p, *of in rows], pa.string())
 
     named = pages.drop(out).withColumn("_host", host_of(url))
-    joined = named.join(found.select(F.col("host").alias("_host"), F.col("template").alias("_template")), "_host", "left")
-    return joined.withColumn(out, run.asNondeterministic()(F.col(html), F.col("_template"))).drop("_host", "_template")
+    parts = ["template", "main", "lesser"]
+    joined = named.join(found.select(F.col("host").alias("_host"), *(F.col(p).alias(f"_{p}") for p in parts)), "_host", "left")
+    return joined.withColumn(out, run.asNondeterministic()(F.col(html), *(F.col(f"_{p}") for p in parts))) \
+        .drop("_host", *(f"_{p}" for p in parts))

@@ -59,3 +59,18 @@ def test_odd_rows(spark):
     got = sorted((str(r.page_id), r.main_text) for r in H.extract(pages).collect())
     assert got == [("1", ""), ("2", "x"), ("2", "x"), ("None", "")]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_template_decides_inside_articles(spark):
+    rows = [(k, f"http://inside.example/{k}", f"<body><article id='post-{k}'><h1>Head {k}</h1><div class=x1><p>Tell your friends</p></div><p>story {k}</p>"
+             f"<p>{'more' if k % 3 else 'Call us today'}</p><p>end {k * 3}</p></article>") for k in range(9)]
+    got = {r.page_id: r.main_text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[4] == "Head 4\nstory 4\nend 12" and got[3] == "Head 3\nstory 3\nCall us today\nend 9"
+
+
+def test_article_that_is_a_teaser(spark):
+    page = "<body><div class=c><h1>Head {0}</h1><p>{1}</p></div><article class=t><p>Read {0} too</p></article>"
+    rows = [(k, f"http://teaser.example/{k}", page.format(k, f"long story {k} " * (1 if k == 5 else 30))) for k in range(9)]
+    pages = spark.createDataFrame([*rows, (99, None, rows[0][2])], PAGES)
+    got = {r.page_id: r.main_text for r in H.extract(pages).collect()}
+    assert got[5] == "Head 5\nlong story 5" and got[99] == got[0] == "Head 0\n" + ("long story 0 " * 30).strip()
