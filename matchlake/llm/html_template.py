@@ -330,11 +330,15 @@ def _template(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """`host`, `template` (its text tokens), `main` and `lesser` (its `main_slots`), `classes` of every host with enough pages."""
+    """`host`, `template` (its text tokens), `main` and `lesser` (its `main_slots`), `classes` of every host with enough pages.
+
+    Copies of a page on a host weigh once."""
     shipped(pages.sparkSession)
-    known = pages.select(host_of(url).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("page")).where("host <> ''")
-    counted = known.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
-    seen = known.mapInArrow(_vectors, "host string, token long, kind int, parent long, v long, pages long, place long, size long") \
+    page = F.coalesce(F.col(html), F.lit(""))
+    known = pages.select(host_of(url).alias("host"), F.unhex(F.sha2(page, 256)).alias("digest"), page.alias("page")).where("host <> ''")
+    counted = known.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
+    distinct = known.groupBy("host", "digest").agg(F.first("page").alias("page"))
+    seen = distinct.select("host", "page").mapInArrow(_vectors, "host string, token long, kind int, parent long, v long, pages long, place long, size long") \
         .groupBy("host", "token", "kind", "parent") \
         .agg(_wrapping_sum("v").alias("v"), F.sum("pages").alias("pages"), F.sum("place").alias("place"), F.sum("size").alias("size")) \
         .where(F.col("pages") >= PAGES)

@@ -74,3 +74,13 @@ def test_article_that_is_a_teaser(spark):
     pages = spark.createDataFrame([*rows, (99, None, rows[0][2])], PAGES)
     got = {r.page_id: r.main_text for r in H.extract(pages).collect()}
     assert got[5] == "Head 5\nlong story 5" and got[99] == got[0] == "Head 0\n" + ("long story 0 " * 30).strip()
+
+
+def test_copies_of_a_page_weigh_once(spark):
+    rows = host_pages("copies.example", 6)
+    many = rows + [(100 + k, f"http://copies.example/{k}", rows[0][2]) for k in range(40)]
+    alone = {r.page_id: r.main_text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for parts in (1, 8):
+        got = {r.page_id: r.main_text for r in H.extract(spark.createDataFrame(many, PAGES).repartition(parts)).collect()}
+        assert {k: got[k] for k in alone} == alone and {got[k] for k in got if k >= 100} == {alone[0]}
+    assert alone[0] == "story 0 of copies.example\nend 0"
