@@ -31,6 +31,9 @@ LINKED = 0.5
 #: Part of the text outside the template from which marked elements are the main slot, and of the largest from which one counts.
 MARKED = 0.25
 
+#: Part of a page's text from which an element holds the main slot, if no mark names one.
+HOLDS = 0.5
+
 # Kinds of tokens, and the token of the page itself.
 TEXT, OTHER, ARTICLE, MAIN, WHOLE = -1, 0, 1, 2, 0
 MARKS = {"article": ARTICLE, "main": MAIN}
@@ -53,6 +56,8 @@ NAMES = frozenset("""ad ads adbox advert adverts advertisement advertising adsen
     related recommended recommendations sidebar widget widgets breadcrumb breadcrumbs pagination pager menu nav navbar navigation
     footer masthead topbar comment comments commentlist disqus reply replies respond login toolbar copyright disclaimer skip
     hidden""".split())
+BOXES = frozenset("""area bar block bottom box button buttons container group header icons inner item items left link links list outer panel
+    post posts right section site slot small text title top unit wrap wrapper""".split())
 
 PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=/?[a-z])[^>]*(?:>|\Z)", re.I | re.S)
@@ -67,21 +72,26 @@ def token(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def marks(attributes: str) -> tuple[str, bool]:
-    """Class and id of a tag, and whether its attributes say that it is no part of the article."""
+def marks(attributes: str) -> tuple[str, bool, bool]:
+    """Class and id of a tag, whether its role or state says that it is no part of the article, and whether a name does.
+
+    A name says so if one of its parts is in NAMES and the others only tell what kind of box it is: has-sidebar, nav-open,
+    related-work and no-comment are other things."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return "", False
-    label, out = [], False
+        return "", False, False
+    label, out, named = [], False, False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
             label.append(value)
-            out |= not NAMES.isdisjoint(NAME_PARTS.findall(value))
+            for name_of in value.split():
+                parts = set(NAME_PARTS.findall(name_of))
+                named |= not NAMES.isdisjoint(parts) and all(p in NAMES or p in BOXES or p.isdigit() for p in parts)
         elif name == "role":
             out |= value in ROLES
         else:
             out |= name == "hidden" or value == "true"
-    return " ".join(label), out
+    return " ".join(label), out, named
 
 
 @dataclass
@@ -110,6 +120,59 @@ class Page:
     places: list[int]
     blocks: list[Block]
     block_places: list[int]
+    named: list[bool]
+
+    def leave(self, template: frozenset[int] = frozenset(), held: frozenset[int] = frozenset(),
+              left: frozenset[int] = frozenset()) -> dict[int, bool]:
+        """Drops the blocks of elements named as something else; returns which of these were dropped, by token.
+
+        An element stays that is around the marked main slot or an element of `held`, or that holds half of the text of the
+        marked slot it is in, of the page if none is marked. What the host says goes first: `held` stays, `left` goes.
+        """
+        if not any(self.named):
+            return {}
+        sizes, n = self.sizes(template), len(self.tokens)
+
+        def over(chosen: list[int]) -> list[bool]:
+            out = [False] * (n + 1)
+            for k in chosen:
+                out[k] = True
+            for k in range(n - 1, -1, -1):
+                out[self.parents[k]] |= out[k]
+            return out
+
+        def under(chosen: list[bool]) -> list[int]:
+            """The outermost chosen element around each, or -1."""
+            out = [-1] * (n + 1)
+            for k, parent in enumerate(self.parents):
+                out[k] = out[parent] if out[parent] >= 0 else k if chosen[k] else -1
+            return out
+
+        near = over([k for k in range(n) if self.kinds[k] in (ARTICLE, MAIN)])
+        aside = under([name and not x for name, x in zip(self.named, near)])
+        rest = sizes[-1] - sum(sizes[k] for k in range(n) if aside[k] == k)
+        slots: list[int] = []
+        within = [-1] * (n + 1)
+        for kind in (ARTICLE, MAIN):
+            within = under([k == kind for k in self.kinds])
+            slots = [k for k in range(n) if within[k] == k]
+            if sum(sizes[k] for k in slots) >= max(MARKED * rest, 1):
+                break
+            slots, within = [], [-1] * (n + 1)
+        most = max((sizes[k] for k in slots), default=0)
+        around = over([k for k in slots if sizes[k] >= MARKED * most] + [k for k in range(n) if self.tokens[k] in held])
+        said: dict[int, bool] = {}
+        gone = [False] * (n + 1)
+        for k, parent in enumerate(self.parents):
+            gone[k] = gone[parent]
+            if self.named[k]:
+                whole = sizes[within[k]] if within[k] >= 0 else 0 if slots else sizes[-1]
+                mine = not around[k] and (self.tokens[k] in left or not whole or sizes[k] < HOLDS * whole)
+                said[self.tokens[k]] = said.get(self.tokens[k], True) and mine
+                gone[k] |= mine
+        for b in self.blocks:
+            b.dropped |= gone[b.at]
+        return said
 
     def sizes(self, template: frozenset[int]) -> list[int]:
         """Plain characters outside the template in each element, and in the page at the end."""
@@ -124,7 +187,7 @@ class Page:
 
 def parse(page: str) -> Page:
     """Elements and text blocks of a page. Digits in classes and ids do not count for tokens: they number posts."""
-    out = Page([], [], [], [], [], [])
+    out = Page([], [], [], [], [], [], [])
     stack: list[tuple[str, int, bool]] = []  # tag, element, dropped
     inside = {"article": 0, "a": 0}
     held: list[str] = []
@@ -186,10 +249,10 @@ def parse(page: str) -> Page:
                 break
         if tag in VOID:
             continue
-        label, named = marks(found["attributes"])
+        label, marked, named = marks(found["attributes"])
         above = stack[-1] if stack else ("", -1, False)
-        named = named and tag not in ("html", "body", "article", "main") or named and tag == "article" and inside["article"] > 0
-        dropped = above[2] or named or tag in ASIDE or tag == "header" and not inside["article"]
+        able = tag not in ("html", "body", "article", "main") or tag == "article" and inside["article"] > 0
+        dropped = above[2] or marked and able or tag in ASIDE or tag == "header" and not inside["article"]
         if above[0] == "header" and inside["article"] and tag not in HEADINGS and tag not in ("div", "hgroup", "header", "section"):
             dropped = dropped or tag in BLOCK
         if tag in inside:
@@ -199,6 +262,7 @@ def parse(page: str) -> Page:
         out.tokens.append(token(str(path), "<", tag, DIGITS.sub("0", label)))
         out.parents.append(above[1])
         out.kinds.append(MARKS.get(tag, OTHER))
+        out.named.append(named and able)
         place += 1
         out.places.append(place)
     if at < len(page):
@@ -233,13 +297,15 @@ def main_slots(tags: dict[int, tuple[int, int, int]]) -> tuple[set[int], set[int
     return {WHOLE}, set(articles)
 
 
-def main_text(page: str, template: frozenset[int], main: frozenset[int] = frozenset(), lesser: frozenset[int] = frozenset()) -> str:
+def main_text(page: str, template: frozenset[int], main: frozenset[int] = frozenset(), lesser: frozenset[int] = frozenset(),
+              held: frozenset[int] = frozenset(), left: frozenset[int] = frozenset()) -> str:
     """The blocks of the main slots in page order, without the host's template text.
 
-    `main` and `lesser` are the host's `main_slots`; a page that has none of the main ones is judged by its own elements.
+    `main` and `lesser` are the host's `main_slots`, `held` and `left` say what its elements named as something else are; a page that has none of the main ones is judged by its own elements.
     Lists of links are no text where no mark names the slot.
     """
     found = parse(page)
+    found.leave(template, held | main, left)
     if WHOLE not in main and main.isdisjoint(found.tokens):
         sizes = found.sizes(template)
         tags = {WHOLE: (WHOLE, OTHER, sizes[-1])}
@@ -260,13 +326,14 @@ def host_of(url: str) -> Column:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, kind, token around it) with the sums over pages of occurrence times the page's number, pages, first places
-    and plain characters in it, summed by batch; the vector sums wrap around. `WHOLE` stands for the page itself."""
+    """(host, token, kind, token around it) with the sums over pages of occurrence times the page's number, pages, first places,
+    plain characters in it and what `leave` says of it (1 or -1), summed by batch; the vector sums wrap around. `WHOLE` stands for the page itself."""
     for batch in batches:
         sums: dict[tuple[str, int], list[int]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             number = int(mix(np.array([token(page)], dtype=np.int64).view(np.uint64), 5)[0])
             found = parse(page)
+            said = found.leave()
             sizes = found.sizes(frozenset())
             mine = {WHOLE: [OTHER, WHOLE, 1, 0, sizes[-1]]}
             for t, parent, kind, place, size in zip(found.tokens, found.parents, found.kinds, found.places, sizes):
@@ -278,18 +345,20 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen[2] += 1
                 seen[4] += b.plain
             for t, (kind, parent, times, place, size) in mine.items():
-                total = sums.setdefault((host, t), [kind, parent, 0, 0, 0, 0])
+                total = sums.setdefault((host, t), [kind, parent, 0, 0, 0, 0, 0])
                 total[2] = (total[2] + number * times) & 0xFFFFFFFFFFFFFFFF
                 total[3] += 1
                 total[4] += place
                 total[5] += size
+                if t in said:
+                    total[6] += 1 if said[t] else -1
         if not sums:
             continue
         columns = list(zip(*sums.values()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([h for h, _ in sums], pa.string()), pa.array([t for _, t in sums], pa.int64()), pa.array(columns[0], pa.int32()),
              pa.array(columns[1], pa.int64()), pa.array(np.array(columns[2], dtype=np.uint64).view(np.int64)),
-             *(pa.array(c, pa.int64()) for c in columns[3:])], names=["host", "token", "kind", "parent", "v", "pages", "place", "size"])
+             *(pa.array(c, pa.int64()) for c in columns[3:])], names=["host", "token", "kind", "parent", "v", "pages", "place", "size", "said"])
 
 
 def nest(classes: list[tuple[int, float, float, int]]) -> set[int]:
@@ -326,11 +395,14 @@ def _template(frame: pd.DataFrame) -> pd.DataFrame:
         # an element around a valid one that is itself in no valid class is passed over
         main, lesser = main_slots({t: (parent[t] if parent[t] in size else WHOLE, kind[t], size[t]) for t in size})
     return pd.DataFrame({"host": [frame["host"].iloc[0]], "template": [sorted(int(t) for t in texts["token"])],
-                         "main": [sorted(int(t) for t in main)], "lesser": [sorted(int(t) for t in lesser)], "classes": [len(valid)]})
+                         "main": [sorted(int(t) for t in main)], "lesser": [sorted(int(t) for t in lesser)],
+                         "held": [sorted(int(t) for t in elements.index[elements["said"] < 0])],
+                         "left": [sorted(int(t) for t in elements.index[elements["said"] > 0])], "classes": [len(valid)]})
 
 
 def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """`host`, `template` (its text tokens), `main` and `lesser` (its `main_slots`), `classes` of every host with enough pages.
+    """`host`, `template` (its text tokens), `main` and `lesser` (its `main_slots`), `held` and `left` (elements named as something
+    else that mostly hold the main text, or do not), `classes` of every host with enough pages.
 
     Copies of a page on a host weigh once."""
     shipped(pages.sparkSession)
@@ -338,12 +410,14 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> Data
     known = pages.select(host_of(url).alias("host"), F.unhex(F.sha2(page, 256)).alias("digest"), page.alias("page")).where("host <> ''")
     counted = known.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
     distinct = known.groupBy("host", "digest").agg(F.first("page").alias("page"))
-    seen = distinct.select("host", "page").mapInArrow(_vectors, "host string, token long, kind int, parent long, v long, pages long, place long, size long") \
+    seen = distinct.select("host", "page").mapInArrow(_vectors, "host string, token long, kind int, parent long, v long, pages long, place long, size long, said long") \
         .groupBy("host", "token", "kind", "parent") \
-        .agg(_wrapping_sum("v").alias("v"), F.sum("pages").alias("pages"), F.sum("place").alias("place"), F.sum("size").alias("size")) \
+        .agg(_wrapping_sum("v").alias("v"), F.sum("pages").alias("pages"), F.sum("place").alias("place"), F.sum("size").alias("size"),
+             F.sum("said").alias("said")) \
         .where(F.col("pages") >= PAGES)
     return seen.join(counted, "host").where(F.col("pages") >= SUPPORT * F.col("n")).drop("n") \
-        .groupBy("host").applyInPandas(_template, "host string, template array<long>, main array<long>, lesser array<long>, classes int")
+        .groupBy("host").applyInPandas(_template, "host string, template array<long>, main array<long>, lesser array<long>, held array<long>, "
+                                                  "left array<long>, classes int")
 
 
 def _wrapping_sum(name: str) -> Column:
@@ -367,13 +441,13 @@ def extract(pages: DataFrame, *, url: str = "url", html: str = "html", out: str
     found = staged(templates(pages, url=url, html=html))  # read again, so Spark knows its size: small ones are broadcast
 
     @F.arrow_udf("string")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for page, *known in batches:
             rows = zip(page.to_pylist(), *(k.to_pylist() for k in known))
             yield pa.array([main_text(p, *(frozenset(k or ()) for k in of)) if p else "" for p, *of in rows], pa.string())
 
     named = pages.drop(out).withColumn("_host", host_of(url))
-    parts = ["template", "main", "lesser"]
+    parts = ["template", "main", "lesser", "held", "left"]
     joined = named.join(found.select(F.col("host").alias("_host"), *(F.col(p).alias(f"_{p}") for p in parts)), "_host", "left")
     return joined.withColumn(out, run.asNondeterministic()(F.col(html), *(F.col(f"_{p}") for p in parts))) \
         .drop("_host", *(f"_{p}" for p in parts))

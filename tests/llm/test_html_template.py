@@ -84,3 +84,15 @@ def test_copies_of_a_page_weigh_once(spark):
         got = {r.page_id: r.main_text for r in H.extract(spark.createDataFrame(many, PAGES).repartition(parts)).collect()}
         assert {k: got[k] for k in alone} == alone and {got[k] for k in got if k >= 100} == {alone[0]}
     assert alone[0] == "story 0 of copies.example\nend 0"
+
+
+def test_names_do_not_drop_the_main_slot(spark):
+    article = "<article><h1>T</h1><p>one two three</p><p class='related-work'>four</p><p class='no-comment'>five</p><p class=ad>six</p></article>"
+    for wrapper in ("class='content-sidebar-wrap'", "class='has-sidebar'", "id='page' class='nav-open'", "class=widget"):
+        assert text(f"<body><div {wrapper}>{article}</div><div class=widget>w</div>") == "T\none two three\nfour\nfive"
+    assert text("<div class=widget><p>all the text</p></div><div class=sidebar>s</div><p>more</p>") == "all the text\nmore"
+    assert text("<article><p>short</p></article><div id=comments>" + "long " * 50 + "</div>") == "short"
+    page = "<body><div class=c>{}</div><div class='notice'>{}</div>"  # the notice is the larger one on one page
+    rows = [(k, f"http://named.example/{k}", page.format(f"story {k} " * (1 if k == 4 else 20), f"notice {k} " * 5)) for k in range(9)]
+    got = {r.page_id: r.main_text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[4] == "story 4" and "notice" not in "".join(got.values())
