@@ -4,6 +4,7 @@ Equal vectors are one node. Nodes are dealt into shards of bounded size by a has
 batches: a greedy search from the medoid proposes neighbours, relaxed distance pruning keeps near and diverse ones, and edges
 back are pruned the same way. A query goes through every shard's graph with a beam, and what it finds is scored again in
 double precision. Vectors get one more component so that all have the same norm: nearest then means largest inner product.
+A shard holds vectors of one band of norms, scaled to 1 at most, so that long vectors elsewhere do not drown short ones in rounding.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ RELAX = 1.2
 BUILD_BEAM, SEARCH_BEAM = 64, 96
 #: Nodes that a search opens in one step, and nodes that join the graph together.
 WIDTH, BATCH = 4, 512
+#: Decimal powers that the norms of a band span.
+BAND = 2
 #: Queries that go to a shard together.
 QUERY_BLOCK = 4096
 
-INDEX = "shard int, dim int, n int, vectors binary, ids binary, id_from binary, graph binary, entry int"
+INDEX = "shard int, dim int, n int, vectors binary, ids binary, id_from binary, graph binary, entry int, copies int"
 
 
 def beam_search(points: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,10 +138,23 @@ def _nearest(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, most
 
 
 def augmented(vectors: np.ndarray, queries: bool = False) -> np.ndarray:
-    """Vectors with one more component that makes all norms equal (0 for queries)."""
-    norm = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-    last = np.zeros(len(vectors)) if queries or not len(vectors) else np.sqrt(np.maximum(norm.max() - norm, 0))
-    return np.concatenate([vectors, last[:, None]], axis=1).astype(np.float32)
+    """Vectors scaled to norms of 1 at most (queries: of 1), with one more component that makes all norms equal (0 for queries)."""
+    if not len(vectors):
+        return np.zeros((0, vectors.shape[1] + 1), dtype=np.float32)
+    peak = np.abs(vectors).max(axis=1, keepdims=True) if queries else np.abs(vectors).max()
+    scaled = vectors / peak  # squares neither overflow nor vanish
+    norm = np.einsum("ij,ij->i", scaled, scaled, dtype=np.float64)
+    scaled = scaled / (np.sqrt(norm)[:, None] if queries else np.sqrt(norm.max()))
+    last = np.zeros(len(vectors)) if queries else np.sqrt(np.maximum(1 - norm / norm.max(), 0))
+    return np.concatenate([scaled, last[:, None]], axis=1).astype(np.float32)
+
+
+def band_of(vector: str) -> Column:
+    """Number of the band that a usable vector's norm is in."""
+    v = F.col(vector)
+    peak = F.array_max(F.transform(v, F.abs))
+    square = F.aggregate(F.transform(v, lambda x: (x / peak) * (x / peak)), F.lit(0.0), lambda a, x: a + x)
+    return F.floor((F.log10(peak) + F.log10(square) / 2) / BAND).cast("int")
 
 
 def usable(vector: str) -> Column:
@@ -152,8 +168,8 @@ def index(rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", co
     """Graphs of all usable vectors, one row a shard, staged in the shared folder.
 
     Every row is in the index through its vector's node. A node lists the `copies` smallest keys of its vector, which are all
-    that a search for fewer nearest can return, since ties go to the smaller key. Vectors of other lengths have graphs of
-    their own. Null keys are left out; an empty table gives an index without rows.
+    that a search for fewer nearest can return, since ties go to the smaller key. Vectors of other lengths, and of
+    norms in another band, have graphs of their own. Null keys are left out; an empty table gives an index without rows.
     """
     spark = shipped(rows.sparkSession)
     good = rows.select(F.col(key).cast("long").alias("i"), F.col(vector).cast("array<double>").alias("v")).where("i is not null").where(usable("v"))
@@ -161,18 +177,19 @@ def index(rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", co
     first = Window.partitionBy("h1", "h2").orderBy("i")
     few = named.withColumn("r", F.row_number().over(first)).where(F.col("r") <= copies)
     nodes = staged(few.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("i")).alias("ids"), F.first(F.when(F.col("r") == 1, F.col("v")), True).alias("v")))
-    per_dim = {r.dim: r.n for r in nodes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect()}
+    group = F.concat_ws(":", F.size("v"), band_of("v"))
+    sizes = {r.g: r.n for r in nodes.groupBy(group.alias("g")).agg(F.count("*").alias("n")).collect()}
     start, base = {}, 0
-    for dim in sorted(per_dim):
-        start[dim] = (base, -(-per_dim[dim] // shard_nodes))
-        base += start[dim][1]
+    for name in sorted(sizes):
+        start[name] = (base, -(-sizes[name] // shard_nodes))
+        base += start[name][1]
     if not base:
         return spark.createDataFrame([], INDEX)
-    lookup = F.create_map(*[F.lit(x) for d, (a, _) in start.items() for x in (d, a)])
-    width = F.create_map(*[F.lit(x) for d, (_, m) in start.items() for x in (d, m)])
-    shard = lookup[F.size("v")] + F.pmod(F.xxhash64("h1", "h2"), width[F.size("v")]).cast("int")
+    lookup = F.create_map(*[F.lit(x) for g, (a, _) in start.items() for x in (g, a)])
+    width = F.create_map(*[F.lit(x) for g, (_, m) in start.items() for x in (g, m)])
+    shard = lookup[group] + F.pmod(F.xxhash64("h1", "h2"), width[group]).cast("int")
     kind = pa.schema([("shard", pa.int32()), ("dim", pa.int32()), ("n", pa.int32()), ("vectors", pa.binary()), ("ids", pa.binary()),
-                      ("id_from", pa.binary()), ("graph", pa.binary()), ("entry", pa.int32())])
+                      ("id_from", pa.binary()), ("graph", pa.binary()), ("entry", pa.int32()), ("copies", pa.int32())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -186,7 +203,7 @@ def index(rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", co
             bounds = np.concatenate([[0], np.cumsum([len(i) for _, i in members])]).astype(np.int64)
             yield pa.RecordBatch.from_pylist([{
                 "shard": s, "dim": vectors.shape[1], "n": len(vectors), "vectors": vectors.tobytes(), "ids": ids.tobytes(),
-                "id_from": bounds.tobytes(), "graph": graph.astype(np.int32).tobytes(), "entry": entry}], kind)
+                "id_from": bounds.tobytes(), "graph": graph.astype(np.int32).tobytes(), "entry": entry, "copies": copies}], kind)
 
     dealt = nodes.select(shard.alias("shard"), "v", "ids").repartitionById(base, F.col("shard"))
     return staged(dealt.mapInArrow(make, INDEX))
@@ -197,9 +214,13 @@ def search(graphs: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id"
     """`query_id`, `rank`, `vec_id`, `score`: the `k` rows with the largest inner products found for each query.
 
     A query never finds its own key; there are fewer rows where there are fewer candidates; ties go to the smaller key.
-    Queries that are not usable, or whose length no graph has, have no result; repeated queries are answered once.
+    Queries that are not usable, or whose length no graph has, have no result; repeated queries are answered once. An index
+    that lists `k` or fewer copies of a vector could miss some and is refused.
     """
     shipped(queries.sparkSession)
+    copies = graphs.agg(F.min("copies")).first()[0]
+    if copies is not None and k >= copies:
+        raise ValueError(f"an index for {k} nearest needs copies={k + 1} or more, this one has {copies}")
     asked = staged(queries.select(F.col(key).cast("long").alias("q"), F.col(vector).cast("array<double>").alias("v"))
                    .where("q is not null").where(usable("v")).dropDuplicates(["q"]))
     n = max(1, -(-asked.count() // query_block))

@@ -53,3 +53,20 @@ def test_pruning_keeps_diverse_neighbours():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [0, 2.1]], dtype=np.float32)
     got = V.robust_prune(points, np.array([0]), np.array([[1, 2, 3, 4]]), 4, 1.2)
     assert sorted(t for t in got[0].tolist() if t >= 0) == [1, 3]
+
+
+def test_long_vectors_do_not_drown_short_ones(spark):
+    import pytest
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[0], x[1] = x[0] * 1e5, x[1] * 1e20
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = list(range(100, 140))
+    graphs = V.index(rows)
+    got = V.search(graphs, rows.where(F.col("vec_id").isin(asked)), 20).toPandas()
+    want = brute(np.arange(len(x)), x, asked, 20)
+    hit = sum(len({i for i, _ in want[q]} & set(part.vec_id)) for q, part in got.groupby("query_id"))
+    assert hit >= 0.95 * 20 * len(asked)
+    with pytest.raises(ValueError, match="copies"):
+        V.search(graphs, rows, 21)
