@@ -57,6 +57,9 @@ def compose(sql: str) -> str:
             ordered.append(name)
 
     visit(sql)
+    unknown = {n for text in (sql, *(CTES[o] for o in ordered)) for n in re.findall(r"\b(?:FROM|JOIN)\s+([zgy]_\w+)", text)} - set(CTES)
+    if unknown:
+        raise KeyError(f"no such expression: {', '.join(sorted(unknown))}")
     if not ordered:
         return sql
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ordered) + "\n" + sql

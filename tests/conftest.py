@@ -17,8 +17,3 @@ def spark(tmp_path_factory):
     from matchlake.sources.storage import configure
     configure(session)
     yield session
-
-
-def rows(df, *order):
-    """Result as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: [(x is not None, str(x)) for x in t])

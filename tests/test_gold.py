@@ -1,7 +1,7 @@
 """Hand-made matches through dimensions and facts: states, corrections, keepers, fallbacks, stable keys."""
 
 import pytest
-from conftest import rows
+from match_rows import rows
 from pyspark.sql import functions as F
 
 from matchlake.operators import quality

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from match_rows import rows
 from pyspark.sql import functions as F
 
 from matchlake.functions import columns as C

@@ -10,13 +10,14 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry
 from matchlake.verification import load
+from matchlake.verification.oracle import compose
 from verify import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = load()
 CORE = [n for n in QUERIES if n.split("_")[0] in {
     "g01", "g05", "g06", "g16", "g17", "g18", "g19", "q04", "q06", "q15", "q22", "q27", "q40", "q43", "q54", "q58", "q65", "q71", "m20",
-    "m26", "m36", "src03", "src06", "j06", "w06", "u02", "u14", "ar10", "dq", "st01"}]
+    "m26", "m36", "src03", "src06", "j05", "j06", "w06", "u02", "u14", "ar10", "dq", "st01"}]
 
 
 @pytest.fixture(scope="module")
@@ -40,5 +41,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
+def test_unknown_expressions_are_refused():
+    with pytest.raises(KeyError):
+        compose("SELECT * FROM z_no_such_thing")
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["rank", "team"]

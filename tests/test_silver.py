@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from match_rows import rows
 
 from matchlake.operators.literals import values
 from matchlake.plans import silver

@@ -1,6 +1,6 @@
 """Scopes, versions, partition upserts, streaming, publishing."""
 
-from conftest import rows
+from match_rows import rows
 from pyspark.sql import functions as F
 
 from matchlake.sources import storage
