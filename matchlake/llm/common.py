@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 #: Most bytes of text that one numpy step handles, unless one text alone is longer.
 SLICE_BYTES = 8 << 20
 
-#: Rows of an Arrow batch between Spark and Python.
-BATCH_ROWS = 1000
+#: Most rows and bytes of an Arrow batch between Spark and Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 #: A-Z become a-z; digits, letters and all bytes from 0x80 stay; every other byte parts words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -31,9 +31,10 @@ _SHIPPED: set[str] = set()
 def shipped(spark: SparkSession) -> SparkSession:
     """Sends this package's code to the Python workers, once per application; they need not have it on their path.
 
-    Arrow batches get at most `BATCH_ROWS` rows: texts are long, and a batch is held in several places at once.
+    Arrow batches get at most `BATCH_ROWS` rows and `BATCH_BYTES`: texts are long, and a batch is held in several places at once.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

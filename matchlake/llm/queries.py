@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_template, jaccard_join, language_id, packing, sharding, token_matrix, tokens, toxicity, vector_graph, warc
+from . import decontamination, html_template, jaccard_join, language_id, packing, sharding, source_divergence, token_matrix, tokens, toxicity, vector_graph, warc
 from .common import fold, shared_folder, staged
 
 
@@ -88,6 +88,11 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences between the sources of every language, and the terms that mark each source."""
+    return source_divergence.divergences(source_divergence.stripes(table(spark, sf_dir, "documents")))
+
+
 OP3_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -117,6 +122,40 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+uses AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM uses GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+pair_groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM pair_groups JOIN kept USING (lang)
+    LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM uses GROUP BY ALL) USING (lang, source, term)),
+sizes AS (SELECT lang, source, sum(n)::HUGEINT AS total, count(*) AS v FROM cells GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (total + v) AS p
+  FROM cells JOIN sizes USING (lang, source)),
+whole AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM cells GROUP BY ALL)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+found AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM pair_groups g JOIN pair_groups h ON h.lang = g.lang AND h.source <> g.source
+    LEFT JOIN apart ON apart.lang = g.lang AND apart.source = g.source AND apart.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_bitmask": op1_language_bitmask,
     "op2_toxic_segments": op2_toxic_segments,
@@ -128,5 +167,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_token_matrix": op9_token_matrix,
     "op10_histogram_shards": op10_histogram_shards,
+    "op12_source_divergence": op12_source_divergence,
 }
-ORACLE: dict[str, str] = {"op3_suffix_array_leaks": OP3_SQL}
+ORACLE: dict[str, str] = {"op3_suffix_array_leaks": OP3_SQL, "op12_source_divergence": OP12_SQL}
