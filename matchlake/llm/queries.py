@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_template, jaccard_join, language_id, packing, sharding, source_divergence, token_matrix, tokens, toxicity, vector_graph, warc
+from . import (decontamination, hard_negatives, html_template, jaccard_join, language_id, packing, sharding, source_divergence, token_matrix,
+               tokens, toxicity, url_filter, vector_graph, warc)
 from .common import fold, shared_folder, staged
 
 
@@ -88,11 +89,23 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_anchor_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector and its positives."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.pmod("vec_id", F.lit(50)) == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergences between the sources of every language, and the terms that mark each source."""
     return source_divergence.divergences(source_divergence.stripes(table(spark, sf_dir, "documents")))
 
 
+def op13_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page, by rule or by the two language models."""
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 OP3_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -122,6 +135,28 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP11_SQL = """
+WITH plain AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other_id,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM plain a JOIN plain b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.v) = len(b.v)),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 OP12_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -167,6 +202,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_token_matrix": op9_token_matrix,
     "op10_histogram_shards": op10_histogram_shards,
+    "op11_anchor_lists": op11_anchor_lists,
     "op12_source_divergence": op12_source_divergence,
+    "op13_url_models": op13_url_models,
 }
-ORACLE: dict[str, str] = {"op3_suffix_array_leaks": OP3_SQL, "op12_source_divergence": OP12_SQL}
+ORACLE: dict[str, str] = {
+    "op3_suffix_array_leaks": OP3_SQL, "op11_anchor_lists": OP11_SQL, "op12_source_divergence": OP12_SQL}
