@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,6 +27,8 @@ TOP_TERMS = 200
 ONE = 1_000_000_000
 #: Entries (a term's count in a source) that a task holds before it spills.
 SPILL_ENTRIES = 1_000_000
+#: Stripes of an Arrow batch.
+ROWS = 20_000
 #: Bytes of text that are cut into terms at once.
 CHUNK_BYTES = 4 << 20
 #: Cells of a term by source table that one numpy step handles.
@@ -59,40 +62,51 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Stripes:
-    """The stripes of one task: (language, term) to [documents, {source: count}]."""
+    """The stripes of one task, (language, term) to [documents, {source: count}], held by column: what is in a document is added
+    to the counter of its language and to that of its source, and a spill turns the columns into stripes."""
 
     def __init__(self) -> None:
-        self.table: dict[tuple[str, bytes | None], list] = {}
-        self.entries = 0
-
-    def add(self, lang: str, documents: Counter, counts: dict[str, Counter]) -> None:
-        table, new = self.table, 0
-        for term, n in documents.items():
-            stripe = table.get((lang, term))
-            if stripe is None:
-                table[lang, term] = [n, {}]
-            else:
-                stripe[0] += n
-        for source, found in counts.items():
-            self.table.setdefault((lang, None), [0, {}])[1].setdefault(source, 0)  # a group without terms is a group
-            for term, n in found.items():
-                per = table[lang, term][1]
-                if source in per:
-                    per[source] += n
-                else:
-                    per[source] = n
-                    new += 1
-        self.entries += new
+        self.languages: dict[str, tuple[Counter, dict[str, Counter]]] = {}
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        documents, counts = self.languages.setdefault(lang, (Counter(), {}))
+        total = counts.setdefault(source, Counter())
+        distinct: set[bytes] = set()
+        for found in terms(text):
+            total.update(found)
+            distinct.update(found)
+        documents.update(distinct)
+
+    def entries(self) -> int:
+        return sum(len(c) for _, counts in self.languages.values() for c in counts.values())
 
     def spill(self) -> Iterator[pa.RecordBatch]:
-        items = sorted(self.table.items(), key=lambda kv: (kv[0][0], kv[0][1] is not None, kv[0][1] or b""))
-        for a in range(0, len(items), 20_000):
-            part = items[a:a + 20_000]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang for (lang, _), _ in part], pa.string()), pa.array([term for (_, term), _ in part], pa.binary()),
-                pa.array([n for _, (n, _) in part], pa.int64()), pa.array([list(s) for _, (_, s) in part], pa.list_(pa.string())),
-                pa.array([list(s.values()) for _, (_, s) in part], pa.list_(pa.int64()))], schema=_STRIPE)
-        self.table, self.entries = {}, 0
+        for lang, (documents, counts) in self.languages.items():
+            names = pa.array(list(counts), pa.string())
+            # a row without a term says which sources there are: a group without terms is a group
+            yield _rows([lang], pa.array([None], pa.binary()), [0], [0, len(names)], names, np.zeros(len(names), dtype=np.int64))
+            place = dict(zip(documents, range(len(documents))))
+            at, of, n = [], [], []
+            for number, found in enumerate(counts.values()):
+                at.append(np.fromiter(map(place.__getitem__, found), dtype=np.int64, count=len(found)))
+                n.append(np.fromiter(found.values(), dtype=np.int64, count=len(found)))
+                of.append(np.full(len(found), number))
+            at, of, n = np.concatenate(at), np.concatenate(of), np.concatenate(n)
+            order = np.argsort(at, kind="stable")
+            of, n, ends = of[order], n[order], np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))])
+            found, held = pa.array(list(documents), pa.binary()), np.fromiter(documents.values(), dtype=np.int64, count=len(documents))
+            for a in range(0, len(place), ROWS):
+                b = min(a + ROWS, len(place))
+                part = slice(ends[a], ends[b])
+                yield _rows([lang] * (b - a), found.slice(a, b - a), held[a:b], ends[a:b + 1] - ends[a], names.take(pa.array(of[part])), n[part])
+        self.languages = {}
+
+
+def _rows(langs, terms_, documents, ends, sources: pa.Array, counts) -> pa.RecordBatch:
+    ends = pa.array(ends, pa.int32())
+    return pa.RecordBatch.from_arrays([
+        pa.array(langs, pa.string()), terms_, pa.array(documents, pa.int64()), pa.ListArray.from_arrays(ends, sources),
+        pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))], schema=_STRIPE)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,53 +115,66 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         values, lengths = texts(batch.column(2))
         for a, b in slices(lengths):
-            seen: dict[str, tuple[Counter, dict[str, Counter]]] = {}
             for lang, source, text in zip(langs[a:b], sources[a:b], values[a:b]):
-                documents, counts = seen.setdefault(lang, (Counter(), {}))
-                total = counts.setdefault(source, Counter())
-                distinct: set[bytes] = set()
-                for found in terms(text or b""):
-                    total.update(found)
-                    distinct.update(found)
-                documents.update(distinct)
-            for lang, (documents, counts) in seen.items():
-                held.add(lang, documents, counts)
-            if held.entries >= SPILL_ENTRIES:
+                held.add(lang, source, text or b"")
+            if held.entries() >= SPILL_ENTRIES:
                 yield from held.spill()
     yield from held.spill()
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes in key order; those of one key become one. Only the stripe in hand is carried from batch to batch."""
-    key, documents, per = None, 0, {}
-    out: list[tuple] = []
+def _merge(least: int):
+    """A function over stripes in key order: those of one key become one, and those of terms in fewer documents end here.
 
-    def batch_of() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.int64()),
-            pa.array([list(r[3]) for r in out], pa.list_(pa.string())), pa.array([list(r[3].values()) for r in out], pa.list_(pa.int64()))],
-            schema=_STRIPE)
+    Only what is known of the last key is carried from batch to batch.
+    """
 
-    for batch in batches:
-        for lang, term, n, sources, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != (lang, term):
-                if key is not None:
-                    out.append((*key, documents, per))
-                    if len(out) >= 20_000:
-                        yield batch_of()
-                        out = []
-                key, documents, per = (lang, term), 0, {}
-            documents += n
-            for s, c in zip(sources, counts):
-                per[s] = per.get(s, 0) + c
-    if key is not None:
-        out.append((*key, documents, per))
-    if out:
-        yield batch_of()
-
-
-def stripes(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Rows of `STRIPE`, one for each language and term, staged; a language's row with a null term lists all its sources.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried: pa.RecordBatch | None = None
+
+        def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+            lang, term, documents, sources, counts = batch.columns
+            n = batch.num_rows
+            new = np.ones(n, dtype=bool)
+            for column in (lang, term):
+                filled = pc.fill_null(column, b"" if column is term else "")  # no term is empty
+                differs = pc.not_equal(filled.slice(1), filled.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+                new[1:] = differs if column is lang else new[1:] | differs
+            group = np.cumsum(new) - 1
+            sizes = np.diff(sources.offsets.to_numpy())
+            names = sources.flatten().dictionary_encode()
+            width = max(1, len(names.dictionary))
+            cell = np.repeat(group, sizes) * width + names.indices.to_numpy()
+            cells, at = np.unique(cell, return_inverse=True)
+            summed = np.zeros(len(cells), dtype=np.int64)
+            np.add.at(summed, at, counts.flatten().to_numpy())
+            held = np.zeros(int(group[-1]) + 1, dtype=np.int64)
+            np.add.at(held, group, documents.to_numpy())
+            first = pa.array(np.flatnonzero(new))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(cells // width, minlength=len(held)))])
+            return _rows(lang.take(first), term.take(first), held, ends, names.dictionary.take(pa.array(cells % width)), summed)
+
+        def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pc.or_(pc.is_null(batch.column(1)), pc.greater_equal(batch.column(2), least)))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if carried is not None:
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([x, y.cast(x.type)]) for x, y in zip(carried.columns, batch.columns)], schema=_STRIPE)
+            batch = merged(batch)
+            carried = batch.slice(batch.num_rows - 1)
+            if batch.num_rows > 1:
+                yield kept(batch.slice(0, batch.num_rows - 1))
+        if carried is not None:
+            yield kept(carried)
+
+    return run
+
+
+def stripes(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", least: int = LEAST_DOCUMENTS) -> DataFrame:
+    """Rows of `STRIPE`, staged: one for each language and term that `least` of its documents hold, and one for each language
+    with a null term that lists all its sources.
 
     Nulls count as empty texts; repeated rows are documents of their own; further columns are not looked at.
     """
@@ -156,7 +183,7 @@ def stripes(docs: DataFrame, *, text: str = "text", lang: str = "lang", source:
     folded = docs.select(F.coalesce(F.col(lang).cast("string"), empty).alias("lang"), F.coalesce(F.col(source).cast("string"), empty).alias("source"),
                          F.col(text).alias("text")).mapInArrow(_fold, STRIPE)
     dealt = folded.repartition("lang", "term").sortWithinPartitions("lang", "term")
-    return staged(dealt.mapInArrow(_merge, STRIPE))
+    return staged(dealt.mapInArrow(_merge(least), STRIPE))
 
 
 def share(counts: np.ndarray, whole: np.ndarray | int) -> np.ndarray:
@@ -273,7 +300,7 @@ def _emit(top: int):
     return run
 
 
-def divergences(found: DataFrame, *, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS) -> DataFrame:
+def divergences(found: DataFrame, *, top: int = TOP_TERMS) -> DataFrame:
     """`lang`, `source`, `part`, `item`, `value`, `rank` out of staged `stripes`.
 
     Part `pair` compares a group with each other source of its language over all terms that the language keeps; part `term`
@@ -281,7 +308,7 @@ def divergences(found: DataFrame, *, least: int = LEAST_DOCUMENTS, top: int = TO
     that keeps no term has pairs of value 0; an empty table gives no rows.
     """
     spark = shipped(found.sparkSession)
-    kept = found.where(F.col("term").isNotNull() & (F.col("documents") >= least))
+    kept = found.where("term is not null")
     groups = found.where("term is null").select("lang", F.explode("sources").alias("source"))
     counted = kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("c")).groupBy("lang", F.col("c.sources").alias("source")) \
         .agg(F.sum("c.counts").alias("n"))
