@@ -15,8 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shipped, slices, texts
-from .tokens import CAPACITY, END_ID, default_vocabulary, documents, encoder
+from .common import shipped, slices
+from .tokens import CAPACITY, END_ID, default_vocabulary, documents, encoder, sizes
 
 #: Ids that a task packs at a time.
 WINDOW_IDS = 4 << 20
@@ -108,7 +108,6 @@ def pack_matrices(docs: DataFrame, *, key: str = "doc_id", text: str = "text", v
                           ("doc", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("offset", pa.int32())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(held.value)
         first, window, size = TaskContext.get().partitionId() << 36, [], 0
 
         def emit() -> Iterator[pa.RecordBatch]:
@@ -118,15 +117,16 @@ def pack_matrices(docs: DataFrame, *, key: str = "doc_id", text: str = "text", v
             for a in range(0, len(rows), 500):
                 yield pa.RecordBatch.from_pylist(rows[a:a + 500], kind)
 
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            values, lengths = texts(batch.column(1))
-            for a, b in slices(lengths, 2 << 20):
-                for doc, ids in zip(keys[a:b], documents(*words.encode(values[a:b]), end_id)):
-                    window.append((doc, ids))
-                    size += len(ids)
-                if size >= WINDOW_IDS:
-                    yield from emit()
+        with encoder(held.value) as words:
+            for batch in batches:
+                keys = batch.column(0).to_pylist()
+                column = batch.column(1)
+                for a, b in slices(sizes(column), 2 << 20):
+                    for doc, ids in zip(keys[a:b], documents(*words.encode(column.slice(a, b - a)), end_id)):
+                        window.append((doc, ids))
+                        size += len(ids)
+                    if size >= WINDOW_IDS:
+                        yield from emit()
         if window:
             yield from emit()
 

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shipped, slices, texts
+from .common import shipped, slices, trim
 
-#: Words a worker remembers; then it starts anew.
-MEMO_WORDS = 500_000
+#: Words, and bytes of words and ids, that one generation of a task's memory holds.
+MEMO_WORDS, MEMO_BYTES = 300_000, 48 << 20
 END_ID = 1
 CAPACITY = 4096
 
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: A letter before a full stop or comma that ends a word: a boundary of tokens in any case.
-STOP = re.compile(rb"([a-z])([.,])(?=\s|\Z)")
+#: How a tokenizer must prepare texts so that words can be tokenised apart. Fixed values of its file.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: The same parts in a lower-case ASCII word without an apostrophe.
+UNITS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: A character that parts words in one call of the tokenizer, in hardly any text, and the letter that stands for its byte.
+MARK, MARK_LETTER = "\0", "\u0100"
 
 
 def default_vocabulary() -> str:
@@ -31,69 +37,170 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Words(dict):
+    """Numbers of words; a new word gets the next number and is noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+class Ids:
+    """Ids of numbered words in one array."""
+
+    def __init__(self) -> None:
+        self.pool = np.zeros(1 << 16, dtype=np.uint32)
+        self.used = self.filled = 0
+        self.start = np.zeros(1 << 14, dtype=np.int64)
+        self.count = np.zeros(1 << 14, dtype=np.int64)
+
+    def put(self, numbers: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        if not len(numbers):
+            return
+        need, top = self.used + len(flat), int(numbers.max()) + 1
+        while need > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while top > len(self.start):
+            self.start, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count))
+        self.pool[self.used:need] = flat
+        self.start[numbers] = self.used + np.cumsum(counts) - counts
+        self.count[numbers] = counts
+        self.used = need
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the words' ids, and the ids themselves in a row."""
+        sizes = self.count[numbers]
+        ends = np.cumsum(sizes)
+        return sizes, self.pool[np.repeat(self.start[numbers] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+class Tokens:
+    """Token ids of many words in one call: they are joined by marks, at whose ids the result is cut."""
+
+    def __init__(self, tokenizer, mark: str) -> None:
+        self.tokenizer, self.between = tokenizer, f" {mark} "
+        ids = tokenizer.encode(mark, add_special_tokens=False).ids
+        self.mark = ids[0] if len(ids) == 1 else None
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of ids and the ids."""
+        counts, flat = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint32)]
+        for a in range(0, len(words), 500):
+            part = [w.decode() for w in words[a:a + 500]]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            marks = np.flatnonzero(ids == self.mark) if self.mark is not None else ()
+            if len(marks) == len(part) - 1:  # no word holds a mark itself
+                counts.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
+                flat.append(np.delete(ids, marks))
+            else:
+                for ids, n in whole_texts(self.tokenizer, part):
+                    counts.append(n)
+                    flat.append(ids)
+        return np.concatenate(counts), np.concatenate(flat)
+
+
+def whole_texts(tokenizer, texts_: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and counts of ids of texts, some at a time."""
+    for a in range(0, len(texts_), 100):
+        got = [e.ids for e in tokenizer.encode_batch_fast(texts_[a:a + 100], add_special_tokens=False)]
+        yield np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(ids) for ids in got], dtype=np.int64)
+
+
 class WordIds:
-    """Ids by a tokenizer that lower-cases, drops white space and never joins across it.
+    """Ids of texts by a tokenizer of any kind.
 
-    Texts are cut at ASCII white space, and before a final stop or comma; no token crosses those places, so the ids of the
-    words in a row are the ids of the text. Texts with `<|`, where special tokens may begin, go to the tokenizer whole.
+    A tokenizer that lower-cases, drops white space and never joins across it (see `SPLIT`) is asked for words only: texts are
+    cut at ASCII white space, different words of a batch are looked up once, and ASCII words are put together from runs of
+    letters, digits and other signs. What has been looked up is remembered for two generations: what is asked for again moves
+    to the new one, the rest goes with the old one. Texts with `<|`, where special tokens may begin, and all texts of other
+    tokenizers go to the tokenizer whole.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        plain = json.loads(vocabulary)
+        normal, first = plain.get("normalizer") or {}, ((plain.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_words = ([n["type"] for n in normal.get("normalizers", [])] == NORMALIZERS and first.get("behavior") == "Removed"
+                         and first.get("invert") is True and first.get("pattern") == {"Regex": SPLIT}
+                         and (plain["model"].get("end_of_word_suffix") or "") != "")
+        if self.by_words:
+            # runs of lower-case ASCII letters need no normalisation, and are their own bytes' letters
+            lean = Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+            self.any, self.letters = Tokens(self.tokenizer, MARK), Tokens(lean, MARK_LETTER)
         self.clear()
 
     def clear(self) -> None:
-        self.memo: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.count = np.zeros(1 << 14, dtype=np.int64)
+        self.words, self.ids = Words(), Ids()
+        self.old_words, self.old_ids = Words(), Ids()
+        self.bytes = 0
 
-    def learn(self, new: list[bytes]) -> None:
-        """Adds words to the memo."""
-        for a in range(0, len(new), 5_000):
-            part = new[a:a + 5_000]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
-            counts = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            flat = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=int(counts.sum()))
-            base, need = len(self.memo), self.used + len(flat)
-            while need > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), dtype=np.uint32)])
-            while base + len(part) > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros(len(self.start), dtype=np.int64)])
-                self.count = np.concatenate([self.count, np.zeros(len(self.count), dtype=np.int64)])
-            self.pool[self.used:need] = flat
-            self.start[base:base + len(part)] = self.used + np.cumsum(counts) - counts
-            self.count[base:base + len(part)] = counts
-            self.used = need
-            self.memo.update(zip(part, range(base, base + len(part))))
-
-    def encode(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array and the bounds of each text in it."""
-        flat: list[bytes] = []
-        counts, odd = [], {}
-        for k, text in enumerate(batch):
-            n = len(flat)
-            if text and b"<|" in text:
-                odd[k] = np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32)
-            elif text:
-                flat += STOP.sub(rb"\1 \2", text.translate(LOWER)).split()
-            counts.append(len(flat) - n)
-        if len(self.memo) > MEMO_WORDS:
-            self.clear()
-        at = np.fromiter(map(self.memo.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
-        if (at < 0).any():
-            self.learn(list({flat[i] for i in np.flatnonzero(at < 0).tolist()}))
-            at = np.fromiter(map(self.memo.__getitem__, flat), dtype=np.int64, count=len(flat))
-        sizes = self.count[at]
-        ends = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        total = np.concatenate([[0], ends])
-        bounds = total[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+    def turn(self) -> None:
+        """Begins a new generation where the present one is full."""
+        if len(self.words) > MEMO_WORDS or self.bytes + 4 * self.ids.used > MEMO_BYTES:
+            self.old_words, self.old_ids = self.words, self.ids
+            self.words, self.ids, self.bytes = Words(), Ids(), 0
+
+    def learn(self) -> None:
+        """Ids of the noted words: from the old generation, from their parts, or from the tokenizer."""
+        words, old = self.words, self.old_words
+        kept, joined, parts, lengths, letters, others = [], [], [], [], [], []
+        at = 0
+        while at < len(words.new):  # parts that are new themselves are noted behind the others
+            word = words.new[at]
+            at += 1
+            if word in old:
+                kept.append(word)
+            elif word.isalpha() and word.isascii():
+                letters.append(word)
+            elif word.isascii() and b"'" not in word and len(found := UNITS.findall(word)) > 1:
+                joined.append(word)
+                parts.extend(map(words.__getitem__, found))
+                lengths.append(len(found))
+            else:
+                others.append(word)
+        self.bytes += sum(map(len, words.new)) + 200 * len(words.new)
+        words.new = []
+
+        def numbers(some: list[bytes], of: dict = words) -> np.ndarray:
+            return np.fromiter(map(of.__getitem__, some), dtype=np.int64, count=len(some))
+
+        self.ids.put(numbers(kept), *self.old_ids.get(numbers(kept, old)))
+        self.ids.put(numbers(letters), *self.letters.of(letters))
+        self.ids.put(numbers(others), *self.any.of(others))
+        if joined:
+            counts, flat = self.ids.get(np.array(parts, dtype=np.int64))
+            self.ids.put(numbers(joined), np.add.reduceat(counts, np.cumsum(lengths) - lengths), flat)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array and the bounds of each text in it; null is empty."""
+        column = pc.fill_null(column, "")
+        if not self.by_words:
+            got = list(whole_texts(self.tokenizer, column.to_pylist()))
+            counts = np.concatenate([np.zeros(1, dtype=np.int64), *(n for _, n in got)])
+            return np.concatenate([np.zeros(0, dtype=np.uint32), *(ids for ids, _ in got)]), np.cumsum(counts)
+        special = pc.match_substring(column, "<|")
+        odd = np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist()
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", column) if odd else column))
+        coded = lists.flatten().cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).dictionary_encode()
+        self.turn()
+        different = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.words.__getitem__, different), dtype=np.int64, count=len(different))
+        if self.words.new:
+            self.learn()
+        counts, ids = self.ids.get(numbers[coded.indices.to_numpy()])
+        offsets = lists.offsets.to_numpy()
+        bounds = np.concatenate([[0], np.cumsum(counts)])[offsets - offsets[0]]
         if odd:
-            parts = [odd.get(k, ids[bounds[k]:bounds[k + 1]]) for k in range(len(batch))]
+            parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            for k in odd:
+                parts[k] = np.array(self.tokenizer.encode(column[k].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
             bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
             ids = np.concatenate(parts)
         return ids, bounds
@@ -102,12 +209,22 @@ class WordIds:
 _ENCODERS: dict[int, WordIds] = {}
 
 
-def encoder(vocabulary: str) -> WordIds:
-    """The worker's encoder, kept from task to task."""
+@contextmanager
+def encoder(vocabulary: str) -> Iterator[WordIds]:
+    """An encoder for one task. The worker keeps the tokenizer; what was remembered is given back with the task."""
     key = zlib.crc32(vocabulary.encode())
     if key not in _ENCODERS:
         _ENCODERS[key] = WordIds(vocabulary)
-    return _ENCODERS[key]
+    try:
+        yield _ENCODERS[key]
+    finally:
+        _ENCODERS[key].clear()
+        trim()
+
+
+def sizes(column: pa.Array) -> np.ndarray:
+    """Bytes of the texts of a column."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def documents(ids: np.ndarray, bounds: np.ndarray, end_id: int | None) -> Iterator[np.ndarray]:
@@ -131,15 +248,14 @@ def pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text", vocabula
 
     @F.arrow_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = encoder(held.value)
-        for column in batches:
-            values, lengths = texts(column)
-            out = []
-            for a, b in slices(lengths, 2 << 20):
-                for ids in documents(*words.encode(values[a:b]), end_id):
-                    out.append([{"piece": k, "start": s, "length": len(part := ids[s:s + capacity]),
-                                 "ids_crc32": zlib.crc32(part.astype("<u4").tobytes())}
-                                for k, s in enumerate(range(0, len(ids), capacity))])
-            yield pa.array(out, kind)
+        with encoder(held.value) as words:
+            for column in batches:
+                out = []
+                for a, b in slices(sizes(column), 2 << 20):
+                    for ids in documents(*words.encode(column.slice(a, b - a)), end_id):
+                        out.append([{"piece": k, "start": s, "length": len(part := ids[s:s + capacity]),
+                                     "ids_crc32": zlib.crc32(part.astype("<u4").tobytes())}
+                                    for k, s in enumerate(range(0, len(ids), capacity))])
+                yield pa.array(out, kind)
 
     return docs.select(key, F.explode(cut.asNondeterministic()(F.col(text))).alias("_p")).select(key, "_p.*")

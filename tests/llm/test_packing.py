@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -18,22 +19,50 @@ def tokenizer():
     return Tokenizer.from_str(VOCABULARY)
 
 
-@settings(max_examples=400, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=14).map("".join), max_size=4))
-def test_ids_equal_the_tokenizer(texts):
-    words = tokens.encoder(VOCABULARY)
-    ids, bounds = words.encode([t.encode() for t in texts])
-    got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-    assert got == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+def ids_of(words, texts):
+    ids, bounds = words.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def test_memo_starts_anew(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO_WORDS", 3)
-    words = tokens.WordIds(VOCABULARY)
-    for text in ("a b c d e", "f g h a", "a b"):
-        assert words.encode([text.encode()])[0].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+KEPT = tokens.WordIds(VOCABULARY)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=14).map("".join), max_size=4))
+def test_ids_equal_the_tokenizer(texts):
+    assert KEPT.by_words
+    assert ids_of(KEPT, texts) == [KEPT.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("words, size", [(3, 1 << 20), (1000, 100)])
+def test_generations(monkeypatch, words, size):
+    """What is remembered may go at any time; ids stay the same."""
+    monkeypatch.setattr(tokens, "MEMO_WORDS", words)
+    monkeypatch.setattr(tokens, "MEMO_BYTES", size)
+    kept = tokens.WordIds(VOCABULARY)
+    random.seed(5)
+    for _ in range(60):
+        text = " ".join(random.choice(["a", "b", "can't", "end.", "end", "x,", "été", "12ab%%%", "new" + str(random.randint(0, 9))]) for _ in range(9))
+        assert ids_of(kept, [text, None]) == [kept.tokenizer.encode(text, add_special_tokens=False).ids, []]
+    with tokens.encoder(VOCABULARY) as given:
+        assert ids_of(given, ["some words"])
+    assert not given.words and not given.ids.used
+
+
+def test_slices_of_columns():
+    column = pa.array(["one two", None, "three <|endoftext|> four", "", "five"], pa.string())
+    ids, bounds = KEPT.encode(column.slice(1, 3))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [
+        KEPT.tokenizer.encode(t, add_special_tokens=False).ids for t in ("", "three <|endoftext|> four", "")]
+    assert tokens.sizes(column).tolist() == [7, 0, 24, 0, 4]
+
+
+def test_other_tokenizers_get_whole_texts():
+    """A tokenizer that keeps case and white space is never asked for words."""
+    import public_tokenizers
+    other = tokens.WordIds(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    texts = ["Two  Words here.", "", "tab\tand\nline", "x" * 300]
+    assert not other.by_words and ids_of(other, texts) == [other.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def places(histogram, capacity, **options):
