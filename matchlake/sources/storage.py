@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.upsert import delete_insert
+from . import journal
+from .journal import file_system as _file_system
 
 
 def configure(spark: SparkSession) -> None:
@@ -109,12 +111,6 @@ class VersionedTable:
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _file_system(spark: SparkSession, path: str):
-    """(file system, path) of the folder ``path``."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), root
-
-
 def folder_state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the tables in a folder; differs when a table has been written anew."""
     fs, root = _file_system(spark, path)
@@ -125,8 +121,10 @@ def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | No
     """The table at ``path`` with the types of ``schema`` and whatever further columns it has; None if there is none.
 
     The schema is given, so that partition values keep their type: a text ``01`` does not turn into a number, and a table
-    that has only NULL partitions can be read.
+    that has only NULL partitions can be read. A swap that was cut short is finished first.
     """
+    if journal.recover(spark, path):
+        spark.catalog.refreshByPath(path)
     fs, root = _file_system(spark, path)
     if not fs.exists(root) or not any(s.isDirectory() or s.getPath().getName().startswith("part-") for s in fs.listStatus(root)):
         return None
@@ -135,32 +133,25 @@ def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | No
     return spark.read.schema(StructType([*schema.fields, *more])).parquet(path)
 
 
-def _swap_partitions(spark: SparkSession, staged: str, path: str, column: str, emptied: Callable[[str], bool]) -> None:
-    """Put the staged partitions in the place of those of ``path`` and remove those in scope that have no rows any more.
-
-    Only complete data moves: the staged folder has been written before anything is removed, and each partition is renamed.
-    """
+def _swap_partitions(spark: SparkSession, staged: str, path: str, column: str, emptied: Callable[[str], bool],
+                     notes: Mapping | None = None) -> None:
+    """Put the staged partitions in the place of those of ``path`` and remove those in scope that have no rows any more."""
     fs, source = _file_system(spark, staged)
     _, target = _file_system(spark, path)
     fs.mkdirs(target)
-    fresh = {s.getPath().getName(): s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith(f"{column}=")}
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    for status in fs.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith(f"{column}=") and name not in fresh and emptied(unquote(name.split("=", 1)[1])):
-            fs.delete(status.getPath(), True)
-    for name, place in fresh.items():
-        fs.delete(make(target, name), True)
-        if not fs.rename(place, make(target, name)):
-            raise OSError(f"cannot move {place}")
+    fresh = {s.getPath().getName() for s in fs.listStatus(source) if s.getPath().getName().startswith(f"{column}=")}
+    gone = [s.getPath().getName() for s in fs.listStatus(target) if s.getPath().getName().startswith(f"{column}=")]
+    journal.swap(spark, path, {f"{staged}/{name}": f"{path}/{name}" for name in fresh},
+                 [f"{path}/{name}" for name in gone if name not in fresh and emptied(unquote(name.split("=", 1)[1]))], notes)
     spark.catalog.refreshByPath(path)
 
 
 def _merge_partitions(spark: SparkSession, path: str, batch: DataFrame, partition: str, kept: Callable[[DataFrame], DataFrame],
-                      emptied: Callable[[str], bool], scope: Column | None = None, more: DataFrame | None = None) -> None:
+                      emptied: Callable[[str], bool], scope: Column | None = None, more: DataFrame | None = None,
+                      notes: Mapping | None = None) -> None:
     """Rewrite the partitions that the batch, ``scope`` or ``more`` touches: what ``kept`` leaves of their old rows, and the batch."""
     current = stored(spark, path, batch.schema)
-    staged = f"{workspace(spark)}/staged"
+    staged = journal.staging(path)
     if current is None:
         write_table(batch, staged, [partition])
     else:
@@ -171,7 +162,16 @@ def _merge_partitions(spark: SparkSession, path: str, batch: DataFrame, partitio
             touched = touched.union(more)
         near = current.join(touched.distinct(), current[partition].eqNullSafe(F.col("_touched")), "left_semi")
         write_table(kept(near).unionByName(batch, allowMissingColumns=True), staged, [partition])
-    _swap_partitions(spark, staged, path, partition, emptied)
+    _swap_partitions(spark, staged, path, partition, emptied, notes)
+
+
+def replace_table(spark: SparkSession, path: str, df: DataFrame, partition_by: Sequence[str] = (), notes: Mapping | None = None) -> None:
+    """Put a new table in the place of the one at ``path``, which it may have been read from."""
+    journal.recover(spark, path)
+    staged = journal.staging(path)
+    write_table(df, staged, partition_by)
+    journal.swap(spark, path, {staged: path}, notes=notes)
+    spark.catalog.refreshByPath(path)
 
 
 def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str, lo=None, hi=None,
@@ -184,10 +184,7 @@ def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str,
     complete before the old one is touched, so a batch may read the table it replaces.
     """
     if scope == "global":
-        staged = f"{workspace(spark)}/staged"
-        write_table(batch, staged)
-        spark.read.schema(batch.schema).parquet(staged).write.mode("overwrite").parquet(path)
-        spark.catalog.refreshByPath(path)
+        replace_table(spark, path, batch)
         return
     column = {"season": "_season_id", "date": "_fixture_date"}[scope]
     if scope == "date":
@@ -203,12 +200,13 @@ def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str,
                           lambda v: v in names, inside)
 
 
-def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str, moving: bool = False) -> None:
+def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str, moving: bool = False,
+                      notes: Mapping | None = None) -> None:
     """delete+insert that rewrites only the partitions the batch touches, NULL being one of them.
 
     The key must contain, or determine, the partition column, unless rows may be ``moving``: then the partitions that hold a
     key of the batch so far are rewritten too (keys and partition column of the table are read for that). Which partitions
-    are touched is a semi join, so nothing is collected; a missing table is created.
+    are touched is a semi join, so nothing is collected; a missing table is created. ``notes`` are stored with the swap.
     """
     keys = batch.select(*key).distinct()
     held, left = None, set()
@@ -217,21 +215,34 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Seq
         # no more values than the table has folders; those that lose all their rows are removed
         left = {NULL_FOLDER if r[0] is None else str(r[0]) for r in held.toLocalIterator()}
     _merge_partitions(spark, path, batch, partition, lambda old: old.join(keys, list(key), "left_anti").select(*old.columns),
-                      lambda v: v in left, more=held)
+                      lambda v: v in left, more=held, notes=notes)
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], target: str, schemas: Sequence[str] | None = None,
             views: dict[str, str] | None = None) -> DataFrame:
-    """Copy ``schema.table`` relations into ``target``, register views, return (table_name, row_count)."""
-    counts = None
-    for name, df in sorted(tables.items()):
-        if schemas and name.split(".")[0] not in schemas:
-            continue
-        place = f"{target}/{name.replace('.', '/')}"
-        df.write.mode("overwrite").parquet(place)
-        one = spark.read.parquet(place).agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
+    """Copy ``schema.table`` relations into ``target``, register views, return (table_name, row_count).
+
+    All copies are complete before the first one takes its place, and one journal moves them all: readers that open the target
+    through ``recover_published`` see all tables of this call or none.
+    """
+    target, counts = target.rstrip("/"), None
+    journal.recover(spark, target)
+    staged = journal.staging(target)
+    names = [n for n in sorted(tables) if not schemas or n.split(".")[0] in schemas]
+    for name in names:
+        tables[name].write.parquet(f"{staged}/{name}")
+        one = spark.read.parquet(f"{staged}/{name}").agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        # taken before the folder moves; a row a table
+        one = spark.createDataFrame(one.collect(), one.schema)
         counts = one if counts is None else counts.unionByName(one)
+    journal.swap(spark, target, {f"{staged}/{n}": f"{target}/{n.replace('.', '/')}" for n in names})
+    spark.catalog.refreshByPath(target)
     for view, sql in (views or {}).items():
         spark.sql(sql).createOrReplaceTempView(view)
     return counts
+
+
+def recover_published(spark: SparkSession, target: str) -> None:
+    """Finish a publication that was cut short after it had been decided, or forget one that had not."""
+    if journal.recover(spark, target.rstrip("/")):
+        spark.catalog.refreshByPath(target)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import journal
 from ..sources.storage import VersionedTable, upsert_partitions
 
 
@@ -25,14 +26,29 @@ def stream_upsert(spark: SparkSession, source: DataFrame, table: VersionedTable,
     return query.lastProgress["batchId"] if query.lastProgress else -1
 
 
+def upsert_once(spark: SparkSession, batch: DataFrame, batch_id: int, path: str, key: Sequence[str], partition: str, name: str,
+                moving: bool = True) -> bool:
+    """Upsert a micro-batch of the stream ``name`` unless the table has it already.
+
+    The number of the batch is noted by the very swap that puts its rows in place, so a batch that comes again after a failure
+    is either finished or skipped, whatever it holds. False if it was skipped.
+    """
+    journal.recover(spark, path)
+    if batch_id <= journal.notes(spark, path).get(name, -1):
+        return False
+    upsert_partitions(spark, path, batch, key, partition, moving, {name: batch_id})
+    return True
+
+
 def stream_upsert_partitions(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str], partition: str, checkpoint: str,
-                             transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
-    """As ``stream_upsert``, into a partitioned table of which a batch rewrites only the partitions it touches.
+                             transform: Callable[[DataFrame], DataFrame] = lambda df: df, moving: bool = True) -> int:
+    """As ``stream_upsert``, exactly once, into a partitioned table of which a batch rewrites only the partitions it touches.
 
-    Inside a batch the same key may come once only, as in ``upsert_partitions``; a replayed batch changes nothing.
+    Inside a batch the same key may come once only. With ``moving`` a key may come back in another partition, and leaves the old
+    one; the keys and partition values of the table are read for that. The checkpoint names the stream.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(spark, path, transform(batch), key, partition)
+        upsert_once(spark, transform(batch), batch_id, path, key, partition, checkpoint, moving)
 
     query = (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -1079,3 +1079,17 @@ def st01(spark, sf):
     again.coalesce(1).write.mode("append").parquet(f"{root}/landed")
     load()
     return storage.stored(spark, f"{root}/events", flat(events).schema)
+
+
+@query("st01_replayed_batches", """
+SELECT event_id, user_id, CASE WHEN event_id % 5 = 0 THEN concat('late ', event_type) ELSE event_type END AS event_type,
+  CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS version FROM events""")
+def st01_replayed(spark, sf):
+    """Batches that come again under their old numbers with other rows change nothing; rows that come back in another partition
+    leave the old one."""
+    path = f"{space(spark)}/events"
+    first = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.lit(1).alias("version"))
+    late = first.filter("event_id % 5 = 0").select("event_id", "user_id", F.concat(F.lit("late "), "event_type").alias("event_type"), F.lit(2).alias("version"))
+    for number, batch in ((0, first), (1, late), (1, first.withColumn("version", F.lit(3))), (0, late.withColumn("version", F.lit(4)))):
+        incremental.upsert_once(spark, batch, number, path, ["event_id"], "event_type", "events")
+    return storage.stored(spark, path, first.schema)

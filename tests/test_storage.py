@@ -1,9 +1,10 @@
 """Scopes, versions, partition upserts, streaming, publishing."""
 
+import pytest
 from match_rows import rows
 from pyspark.sql import functions as F
 
-from matchlake.sources import storage
+from matchlake.sources import journal, storage
 from matchlake.streaming import incremental
 
 
@@ -126,3 +127,85 @@ def test_publish(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert storage.workspace(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class Lost(Exception):
+    pass
+
+
+def failing_at(monkeypatch, step, times=1):
+    """The writer is lost after the given step has been done so many times."""
+    left = [times]
+
+    def lose(done):
+        if done == step:
+            left[0] -= 1
+            if left[0] == 0:
+                raise Lost(step)
+    monkeypatch.setattr(journal, "watch", lose)
+
+
+STEPS = [("staged", 1, "old"), ("journaled", 1, "new"), ("dropped", 1, "new"), ("cleared", 1, "new"), ("moved", 1, "new"), ("cleared", 2, "new"),
+         ("moved", 2, "new")]
+
+
+@pytest.mark.parametrize("step, times, result", STEPS)
+def test_lost_partition_swap_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step, times, result):
+    path = str(tmp_path / "s")
+    base = table(spark, [*BASE, (4, "d", "2026-01-01")]).drop("_fixture_date")
+    storage.replace_scope(spark, path, base, "season")
+    batch = table(spark, [(8, "x", "2024-05-05"), (9, "y", "2025-05-05")]).drop("_fixture_date")
+    failing_at(monkeypatch, step, times)
+    with pytest.raises(Lost):
+        storage.replace_scope(spark, path, batch, "season", seasons=[2024, 2025, 2026])
+    monkeypatch.setattr(journal, "watch", lambda done: None)
+    want = [(1,), (2,), (3,), (4,)] if result == "old" else [(8,), (9,)]
+    assert rows(storage.stored(spark, path, base.schema).select("id")) == want
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["s"]  # neither journal nor staged files stay
+    storage.replace_scope(spark, path, batch, "season", seasons=[2024, 2025, 2026])
+    assert rows(storage.stored(spark, path, base.schema).select("id")) == [(8,), (9,)]
+
+
+@pytest.mark.parametrize("step", ["staged", "journaled", "cleared", "moved"])
+def test_lost_global_swap(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "g")
+    base = table(spark, BASE)
+    storage.replace_scope(spark, path, base, "global")
+    failing_at(monkeypatch, step)
+    with pytest.raises(Lost):  # the batch reads the table that it replaces
+        storage.replace_scope(spark, path, storage.stored(spark, path, base.schema).filter("id > 1"), "global")
+    monkeypatch.setattr(journal, "watch", lambda done: None)
+    assert rows(storage.stored(spark, path, base.schema).select("id")) == ([(1,), (2,), (3,)] if step == "staged" else [(2,), (3,)])
+
+
+@pytest.mark.parametrize("step, times, result", STEPS[:2] + STEPS[3:])
+def test_lost_publication_switches_all_tables_or_none(spark, tmp_path, monkeypatch, step, times, result):
+    target = str(tmp_path / "pub")
+    t = table(spark, BASE)
+    storage.publish(spark, {"gold.a": t, "gold.b": t}, target)
+    failing_at(monkeypatch, step, times)
+    with pytest.raises(Lost):
+        storage.publish(spark, {"gold.a": t.limit(1), "gold.b": t.limit(2)}, target)
+    monkeypatch.setattr(journal, "watch", lambda done: None)
+    storage.recover_published(spark, target)
+    assert [spark.read.parquet(f"{target}/gold/{n}").count() for n in "ab"] == ([3, 3] if result == "old" else [1, 2])
+
+
+def test_replayed_batch_is_skipped_or_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "x")
+    make = lambda data: spark.createDataFrame(data, "id bigint, v string, p int")
+    once = lambda batch, number: incremental.upsert_once(spark, make(batch), number, path, ["id"], "p", "stream")
+    assert once([(1, "a", 1), (2, "b", 2)], 0)
+    assert not once([(1, "other", 1)], 0)
+    assert once([(1, "a", 2)], 1)  # moves to another partition
+    failing_at(monkeypatch, "cleared")
+    with pytest.raises(Lost):
+        once([(2, "B", 2)], 2)
+    monkeypatch.setattr(journal, "watch", lambda done: None)
+    assert not once([(2, "twice", 2)], 2)  # decided before the failure: it is finished, not done again
+    failing_at(monkeypatch, "staged")
+    with pytest.raises(Lost):
+        once([(3, "c", 3)], 3)
+    monkeypatch.setattr(journal, "watch", lambda done: None)
+    assert once([(3, "c", 3)], 3)
+    assert rows(storage.stored(spark, path, make([]).schema)) == [(1, "a", 2), (2, "B", 2), (3, "c", 3)]
