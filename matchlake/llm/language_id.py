@@ -7,27 +7,29 @@ language is the number of its n-grams with that bit, less the hits that false po
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, mix, shipped, slices, texts
+from .common import mix, shipped, slices, staged, texts
 
 SIZES = (3, 4)
 HASHES = 3
 #: Rows of the filter table, a power of two; the table is what goes to the tasks.
 FILTER_ROWS = 1 << 20
-#: The filters are fitted on about this many labelled rows, whole texts, chosen by a hash of id and text.
-FIT_ROWS = 6_000
+#: The filters are fitted on about this many different texts of each language, whole ones, chosen by a hash.
+FIT_ROWS = 2_000
 #: An n-gram belongs to a language that holds at least this part of its highest rate in any language.
 SHARE = 0.25
-#: Fewest documents of a language that hold one of its n-grams.
-FEWEST = 2
+#: An n-gram of a language is in so many of its texts, or in this part of them where that is fewer.
+FEWEST, PART = 2, 0.2
+#: Bytes of text that one numpy step handles: it makes some hundred bytes of each.
+STEP_BYTES = 1 << 20
 
 VERDICT = "struct<lang_pred:string,score:double,coverage:double>"
 _LETTERS: list[np.ndarray] = []
@@ -113,16 +115,17 @@ class Filters:
 
 
 def _count_ngrams(sizes: tuple[int, ...]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(language, n-gram) with occurrences and documents, summed within each slice."""
-        for frame in batches:
-            values = [v.encode() for v in frame["t"]]
-            for a, b in slices(np.array([len(v) for v in values])):
+        for batch in batches:
+            values, lengths = texts(batch.column(0))
+            names = batch.column(1).to_pylist()
+            for a, b in slices(lengths, STEP_BYTES):
                 points, owner = normal(values[a:b])
-                langs, which = np.unique(frame["l"].to_numpy(dtype=object)[a:b].astype(str), return_inverse=True)
+                langs, which = np.unique(np.array(names[a:b], dtype=object).astype(str), return_inverse=True)
                 for size in sizes:
                     hashed, of = ngrams(points, owner, size)
-                    for k, lang in enumerate(langs):
+                    for k, lang in enumerate(langs.tolist()):
                         mine = which[of] == k
                         order = np.lexsort((of[mine], hashed[mine]))
                         h, o = hashed[mine][order], of[mine][order]
@@ -131,8 +134,9 @@ def _count_ngrams(sizes: tuple[int, ...]):
                         new = np.concatenate([[True], h[1:] != h[:-1]])
                         fresh = new | np.concatenate([[True], o[1:] != o[:-1]])
                         at = np.flatnonzero(new)
-                        yield pd.DataFrame({"l": lang, "h": h[at].view(np.int64), "k": np.diff(np.append(at, len(h))),
-                                            "d": np.add.reduceat(fresh.astype(np.int64), at)})
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([lang] * len(at), pa.string()), pa.array(h[at].view(np.int64)), pa.array(np.diff(np.append(at, len(h)))),
+                            pa.array(np.add.reduceat(fresh.astype(np.int64), at))], names=["l", "h", "k", "d"])
     return run
 
 
@@ -140,14 +144,21 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sizes: t
         filter_rows: int = FILTER_ROWS, fit_rows: int = FIT_ROWS, share: float = SHARE) -> Filters:
     """Filters of every language of `labelled`; rows without language or text teach nothing.
 
-    The n-grams of a bounded sample of rows (`fit_rows`, whole texts) are counted per language, and the filter rows they
-    set are folded by the tasks. What comes to the driver has at most `filter_rows` rows of 16 bytes.
+    A language is learned from about `fit_rows` of its different texts, or from all where it has fewer, however rare it is
+    among the rows. Copies count once: they are told by a hash, inside the tasks first. The n-grams of the sample are counted per
+    language, and the filter rows they set are folded by the tasks. What comes to the driver has at most `filter_rows` rows of
+    16 bytes, and a row per language.
     """
     shipped(labelled.sparkSession)
-    rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null")
-    n = rows.count()
-    sample = bounded_sample(rows, fit_rows, n, "t", "l")
-    counted = sample.mapInPandas(_count_ngrams(sizes), "l string, h long, k long, d long") \
+    rows = labelled.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null").withColumn("h", F.xxhash64("t"))
+    sizes_in = {r.l: r.n for r in rows.select("l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not sizes_in:
+        sample = rows.limit(0).select("t", "l")
+    else:
+        rate = F.create_map(*[F.lit(x) for v, n in sizes_in.items() for x in (v, int((1 << 30) * min(1.0, fit_rows / n)))])
+        chosen_rows = rows.where(F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(1 << 30)) < rate[F.col("l")])
+        sample = staged(chosen_rows.groupBy("l", "h").agg(F.first("t").alias("t")).select("t", "l"))
+    counted = sample.mapInArrow(_count_ngrams(sizes), "l string, h long, k long, d long") \
         .groupBy("l", "h").agg(F.sum("k").alias("k"), F.sum("d").alias("d"))
     sizes_of = {r.l: (r.k, r.n) for r in sample.groupBy("l").agg(F.sum(F.length("t")).alias("k"), F.count("*").alias("n")).collect()}
     langs = sorted(sizes_of)
@@ -161,10 +172,11 @@ def fit(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sizes: t
     out.default = max(range(len(langs)), key=lambda i: sizes_of[langs[i]][1])
     at = {v: i for i, v in enumerate(langs)}
     rate = F.create_map(*[F.lit(x) for v in langs for x in (v, float(max(1, sizes_of[v][0])))])
+    fewest = F.create_map(*[F.lit(x) for v in langs for x in (v, min(FEWEST, math.ceil(PART * sizes_of[v][1])))])
     rated = counted.withColumn("p", F.col("k") / rate[F.col("l")])
     chosen = rated.groupBy("h").agg(F.max("p").alias("top"), F.collect_list(F.struct("l", "p", "d")).alias("all"))
     chosen = chosen.select("h", F.filter("all", lambda x: (x["p"] >= share * F.col("top"))
-                                         & (x["d"] >= (FEWEST if n > 50 else 1)))["l"].alias("ls")).where("size(ls) > 0")
+                                         & (x["d"] >= fewest[x["l"]]))["l"].alias("ls")).where("size(ls) > 0")
     bit = F.create_map(*[F.lit(x) for i, v in enumerate(langs) for x in (v, i)])
     masked = chosen.select("h", F.aggregate("ls", F.lit(0).cast("long"),
                                             lambda acc, v: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit[v]))).alias("m"))
@@ -217,7 +229,7 @@ def identify(docs: DataFrame, filters: Filters, *, text: str = "text", out: str
         for column in batches:
             values, lengths = texts(column)
             rows: list[dict] = []
-            for a, b in slices(lengths, 1 << 20):
+            for a, b in slices(lengths, STEP_BYTES):
                 rows += verdicts(values[a:b], held.value)
             yield pa.array(rows, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("coverage", pa.float64())]))
 

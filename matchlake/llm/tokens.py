@@ -130,6 +130,7 @@ class WordIds:
         self.by_words = ([n["type"] for n in normal.get("normalizers", [])] == NORMALIZERS and first.get("behavior") == "Removed"
                          and first.get("invert") is True and first.get("pattern") == {"Regex": SPLIT}
                          and (plain["model"].get("end_of_word_suffix") or "") != "")
+        self.any = self.letters = None
         if self.by_words:
             # runs of lower-case ASCII letters need no normalisation, and are their own bytes' letters
             lean = Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
@@ -206,19 +207,15 @@ class WordIds:
         return ids, bounds
 
 
-_ENCODERS: dict[int, WordIds] = {}
-
-
 @contextmanager
 def encoder(vocabulary: str) -> Iterator[WordIds]:
-    """An encoder for one task. The worker keeps the tokenizer; what was remembered is given back with the task."""
-    key = zlib.crc32(vocabulary.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordIds(vocabulary)
+    """An encoder for one task. Workers outlive it and share an executor's memory, so nothing of it stays behind."""
+    words = WordIds(vocabulary)
     try:
-        yield _ENCODERS[key]
+        yield words
     finally:
-        _ENCODERS[key].clear()
+        words.clear()
+        words.tokenizer = words.any = words.letters = None
         trim()
 
 

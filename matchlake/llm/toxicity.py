@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,16 +146,18 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.shift + self.slope * math.log1p(evidence)))))
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """form -> labelled documents of each kind that hold it, summed within each slice; the empty form counts documents."""
-    for frame in batches:
-        values = [v.encode() for v in frame["t"]]
-        for a, b in slices(np.array([len(v) for v in values]), 4 << 20):
+    for batch in batches:
+        values, lengths = texts(batch.column("t"))
+        labels = batch.column("y").to_pylist()
+        for a, b in slices(lengths, 4 << 20):
             toxic, other = Counter(), Counter()
-            for text, label in zip(values[a:b], frame["y"][a:b]):
+            for text, label in zip(values[a:b], labels[a:b]):
                 (toxic if label else other).update({f for w in set(tokens(text)) for f in forms(w)})
             names = list(toxic.keys() | other.keys())
-            yield pd.DataFrame({"f": names, "a": [toxic[f] for f in names], "b": [other[f] for f in names]})
+            yield pa.RecordBatch.from_pydict({"f": pa.array(names, pa.string()), "a": pa.array([toxic[f] for f in names], pa.int64()),
+                                              "b": pa.array([other[f] for f in names], pa.int64())})
 
 
 def chance_rate(values: np.ndarray, weights: np.ndarray) -> float:
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     sample = docs.select(F.col(key).alias("i"), F.col(text).alias("t")).where("t is not null") \
         .join(F.broadcast(few), "i").select("t", "y").dropDuplicates(["t", "y"])
     sample = staged(sample)
-    counted = staged(sample.mapInPandas(_count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counted = staged(sample.mapInArrow(_count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     stems = F.col("f").endswith("*")
     total = counted.groupBy(stems.alias("stem")).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
     model = Model()
@@ -225,22 +226,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     model.base = kinds[True] / (kinds[True] + kinds[False])
     held = spark.sparkContext.broadcast(model)
 
-    def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = pa.schema([("y", pa.bool_()), ("n", pa.int64()), ("s", pa.list_(pa.float64())), ("v", pa.float64()), ("k", pa.int64())])
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per sampled row: label, words, sums of its segments; and how often each score occurs in clean rows."""
         model_, memo = held.value, Scores(held.value.counts, held.value.base)
-        for frame in batches:
-            values = [v.encode() for v in frame["t"]]
-            for a, b in slices(np.array([len(v) for v in values]), 1 << 20):
+        for batch in batches:
+            values, lengths = texts(batch.column("t"))
+            labels = batch.column("y").to_pylist()
+            for a, b in slices(lengths, 1 << 20):
                 got = model_.found(values[a:b], memo)
                 seen: Counter = Counter()
-                for t, y in zip(values[a:b], frame["y"][a:b]):
+                for t, y in zip(values[a:b], labels[a:b]):
                     if not y:
                         seen.update(round(memo[w] - DRIFT, 1) for w in tokens(t))
-                yield pd.DataFrame({"y": frame["y"][a:b].to_numpy(bool), "n": [n for n, _ in got],
-                                    "s": [[float(x[2]) for x in s] for _, s in got], "v": None, "k": None})
-                yield pd.DataFrame({"y": None, "n": None, "s": None, "v": list(seen.keys()), "k": list(seen.values())})
+                yield pa.RecordBatch.from_pylist(
+                    [{"y": bool(y), "n": n, "s": [float(x[2]) for x in s]} for y, (n, s) in zip(labels[a:b], got)]
+                    + [{"v": float(v), "k": n} for v, n in seen.items()], kind)
 
-    seen = staged(sample.mapInPandas(profile, "y boolean, n long, s array<double>, v double, k long"))
+    seen = staged(sample.mapInArrow(profile, "y boolean, n long, s array<double>, v double, k long"))
     scores = seen.where("v is not null").groupBy("v").agg(F.sum("k").alias("k")).toPandas()
     per_row = seen.where("y is not null").select("y", "n", "s").toPandas()
     if len(scores):

@@ -60,3 +60,15 @@ def test_nothing_learned(make_docs):
     assert got.lang_pred == "und" and got.score == 0
     assert language_id.identify(make_docs([]), empty).count() == 0
     assert language_id.keep_identified(make_docs(["a b"]), empty).count() == 1
+
+
+def test_rare_languages_are_learned_at_every_size(make_docs):
+    """One text of a language among many others, and one text on most rows."""
+    polish, english = "zażółć gęślą jaźń oraz żółw", "the cat sat on the mat and the dog ran"
+    for n in (40, 60, 300):
+        texts = [f"{english} number {chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)] + [english] * n + [polish]
+        docs = make_docs(texts, langs=["en"] * (2 * n) + ["pl"])
+        filters = language_id.fit(docs, fit_rows=50)
+        got = {r.text: r.language for r in language_id.identify(docs, filters).select("text", "language").collect()}
+        assert got[polish].lang_pred == "pl" and got[polish].score > 0.9
+        assert all(v.lang_pred == "en" for t, v in got.items() if t != polish)
