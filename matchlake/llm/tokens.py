@@ -8,6 +8,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,11 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same parts in a lower-case ASCII word without an apostrophe.
 UNITS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words of lower-case letters of one code point each, up to U+00FF.
+LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
+#: Bytes that have no printable Latin-1 letter are shown by the letters from U+0100 on, in order. A fixed rule of such vocabularies.
+BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+del BYTE_LETTERS[32]
 #: A character that parts words in one call of the tokenizer, in hardly any text, and the letter that stands for its byte.
 MARK, MARK_LETTER = "\0", "\u0100"
 
@@ -37,19 +43,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Words(dict):
-    """Numbers of words; a new word gets the next number and is noted."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
-
-
 class Ids:
     """Ids of numbered words in one array."""
 
@@ -82,23 +75,25 @@ class Ids:
 class Tokens:
     """Token ids of many words in one call: they are joined by marks, at whose ids the result is cut."""
 
-    def __init__(self, tokenizer, mark: str) -> None:
-        self.tokenizer, self.between = tokenizer, f" {mark} "
+    def __init__(self, tokenizer, mark: str, letters: dict[int, str] | None = None) -> None:
+        self.tokenizer, self.between, self.letters = tokenizer, f" {mark} ", letters
         ids = tokenizer.encode(mark, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Counts of ids and the ids."""
         counts, flat = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint32)]
-        for a in range(0, len(words), 500):
-            part = [w.decode() for w in words[a:a + 500]]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        for a in range(0, len(words), 1000):
+            part = words[a:a + 1000]
+            text = self.between.encode().join(part).decode() if self.letters is None else self.between.join(
+                [w.decode("latin-1").translate(self.letters) for w in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
             marks = np.flatnonzero(ids == self.mark) if self.mark is not None else ()
             if len(marks) == len(part) - 1:  # no word holds a mark itself
                 counts.append(np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1)
                 flat.append(np.delete(ids, marks))
             else:
-                for ids, n in whole_texts(self.tokenizer, part):
+                for ids, n in whole_texts(self.tokenizer, [w.decode() for w in part]):
                     counts.append(n)
                     flat.append(ids)
         return np.concatenate(counts), np.concatenate(flat)
@@ -123,61 +118,71 @@ class WordIds:
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        plain = json.loads(vocabulary)
-        normal, first = plain.get("normalizer") or {}, ((plain.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.by_words = ([n["type"] for n in normal.get("normalizers", [])] == NORMALIZERS and first.get("behavior") == "Removed"
-                         and first.get("invert") is True and first.get("pattern") == {"Regex": SPLIT}
-                         and (plain["model"].get("end_of_word_suffix") or "") != "")
-        self.any = self.letters = None
+        state = lambda part: json.loads(part.__getstate__()) if part is not None else {}
+        first = (state(self.tokenizer.pre_tokenizer).get("pretokenizers") or [{}])[0]
+        self.by_words = ([n["type"] for n in state(self.tokenizer.normalizer).get("normalizers", [])] == NORMALIZERS
+                         and first.get("behavior") == "Removed" and first.get("invert") is True and first.get("pattern") == {"Regex": SPLIT}
+                         and bool(getattr(self.tokenizer.model, "end_of_word_suffix", None)))
+        self.any = self.letters = self.accents = None
         if self.by_words:
-            # runs of lower-case ASCII letters need no normalisation, and are their own bytes' letters
-            lean = Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
-            self.any, self.letters = Tokens(self.tokenizer, MARK), Tokens(lean, MARK_LETTER)
+            # lower-case letters of one code point need no normalisation; what stands for their bytes goes to the same model
+            lean = Tokenizer(self.tokenizer.model)
+            lean.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.any, self.letters, self.accents = Tokens(self.tokenizer, MARK), Tokens(lean, MARK_LETTER), Tokens(lean, MARK_LETTER, BYTE_LETTERS)
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.ids = Words(), Ids()
-        self.old_words, self.old_ids = Words(), Ids()
+        self.words: dict[bytes, int] = {}
+        self.old_words: dict[bytes, int] = {}
+        self.ids, self.old_ids = Ids(), Ids()
         self.bytes = 0
 
     def turn(self) -> None:
         """Begins a new generation where the present one is full."""
         if len(self.words) > MEMO_WORDS or self.bytes + 4 * self.ids.used > MEMO_BYTES:
             self.old_words, self.old_ids = self.words, self.ids
-            self.words, self.ids, self.bytes = Words(), Ids(), 0
-
-    def learn(self) -> None:
-        """Ids of the noted words: from the old generation, from their parts, or from the tokenizer."""
-        words, old = self.words, self.old_words
-        kept, joined, parts, lengths, letters, others = [], [], [], [], [], []
-        at = 0
-        while at < len(words.new):  # parts that are new themselves are noted behind the others
-            word = words.new[at]
-            at += 1
-            if word in old:
-                kept.append(word)
-            elif word.isalpha() and word.isascii():
-                letters.append(word)
-            elif word.isascii() and b"'" not in word and len(found := UNITS.findall(word)) > 1:
-                joined.append(word)
-                parts.extend(map(words.__getitem__, found))
+            self.words, self.ids, self.bytes = {}, Ids(), 0
+
+    def numbers(self, different: pa.Array) -> np.ndarray:
+        """Numbers of different words; those that are not known yet become known."""
+        words = different.to_pylist()
+        found = np.fromiter(map(self.words.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            found[new] = np.arange(len(self.words), len(self.words) + len(new))
+            self.words.update(zip(map(words.__getitem__, new.tolist()), found[new].tolist()))
+            self.learn(different.take(pa.array(new)), found[new])
+        return found
+
+    def learn(self, words: pa.Array, numbers: np.ndarray) -> None:
+        """Ids of new words: from the old generation, from their parts, or from the tokenizer."""
+        self.bytes += len(words) * 200 + int(pc.sum(pc.binary_length(words)).as_py() or 0)
+        values = words.to_pylist()
+        before = np.fromiter(map(self.old_words.get, values, repeat(-1)), dtype=np.int64, count=len(values))
+        kept = before >= 0
+        self.ids.put(numbers[kept], *self.old_ids.get(before[kept]))
+        text = words.cast(pa.string() if pa.types.is_binary(words.type) else pa.large_string())
+        plain = pc.string_is_ascii(text).to_numpy(zero_copy_only=False)
+        letters = pc.match_substring_regex(text, LETTERS).to_numpy(zero_copy_only=False) & ~kept
+        parted = plain & ~pc.match_substring(text, "'").to_numpy(zero_copy_only=False) & ~kept & ~letters
+        joined, parts, lengths = [], [], []
+        for i in np.flatnonzero(parted).tolist():
+            found = UNITS.findall(values[i])
+            if len(found) > 1:
+                joined.append(i)
+                parts.extend(found)
                 lengths.append(len(found))
-            else:
-                others.append(word)
-        self.bytes += sum(map(len, words.new)) + 200 * len(words.new)
-        words.new = []
-
-        def numbers(some: list[bytes], of: dict = words) -> np.ndarray:
-            return np.fromiter(map(of.__getitem__, some), dtype=np.int64, count=len(some))
-
-        self.ids.put(numbers(kept), *self.old_ids.get(numbers(kept, old)))
-        self.ids.put(numbers(letters), *self.letters.of(letters))
-        self.ids.put(numbers(others), *self.any.of(others))
+        whole = ~kept & ~letters
+        whole[joined] = False
+        for which, tokenizer in ((letters & plain, self.letters), (letters & ~plain, self.accents), (whole, self.any)):
+            at = np.flatnonzero(which)
+            self.ids.put(numbers[at], *tokenizer.of([values[i] for i in at.tolist()]))
         if joined:
-            counts, flat = self.ids.get(np.array(parts, dtype=np.int64))
-            self.ids.put(numbers(joined), np.add.reduceat(counts, np.cumsum(lengths) - lengths), flat)
+            coded = pa.array(parts, words.type).dictionary_encode()
+            counts, flat = self.ids.get(self.numbers(coded.dictionary)[coded.indices.to_numpy()])
+            self.ids.put(numbers[joined], np.add.reduceat(counts, np.cumsum(lengths) - lengths), flat)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array and the bounds of each text in it; null is empty."""
@@ -191,11 +196,7 @@ class WordIds:
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(special, "", column) if odd else column))
         coded = lists.flatten().cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).dictionary_encode()
         self.turn()
-        different = coded.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.words.__getitem__, different), dtype=np.int64, count=len(different))
-        if self.words.new:
-            self.learn()
-        counts, ids = self.ids.get(numbers[coded.indices.to_numpy()])
+        counts, ids = self.ids.get(self.numbers(coded.dictionary)[coded.indices.to_numpy()])
         offsets = lists.offsets.to_numpy()
         bounds = np.concatenate([[0], np.cumsum(counts)])[offsets - offsets[0]]
         if odd:
@@ -215,7 +216,7 @@ def encoder(vocabulary: str) -> Iterator[WordIds]:
         yield words
     finally:
         words.clear()
-        words.tokenizer = words.any = words.letters = None
+        words.tokenizer = words.any = words.letters = words.accents = None
         trim()
 
 
