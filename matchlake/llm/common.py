@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 #: Most rows and bytes of an Arrow batch between Spark and Python.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 #: A-Z become a-z; digits, letters and all bytes from 0x80 stay; every other byte parts words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32

@@ -195,7 +195,8 @@ def pack(pieces: DataFrame, *, length: str = "length", capacity: int = 4096, gro
     empty result; columns already called `sequence_id` or `offset` are replaced; ties and repeated rows each get a place.
     """
     spark = shipped(pieces.sparkSession)
-    rows = staged(pieces.drop("sequence_id", "offset").withColumn("_r", 
+    # what makes the pieces has Python workers of its own; staged, theirs have ended before those of the ranks begin
+    rows = staged(staged(pieces.drop("sequence_id", "offset")).withColumn("_r",
         F.arrow_udf(_local_rank, "struct<part:int,rank:long>").asNondeterministic()(F.col(length).cast("long"))))
     rows = rows.withColumns({"_part": F.col("_r.part"), "_rank": F.col("_r.rank"), "_n": F.col(length).cast("long")})
     counts = rows.groupBy("_n", "_part").agg(F.count("*").alias("_k"))

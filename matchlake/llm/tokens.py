@@ -212,6 +212,7 @@ class WordIds:
 def encoder(vocabulary: str) -> Iterator[WordIds]:
     """An encoder for one task. Workers outlive it and share an executor's memory, so nothing of it stays behind."""
     words = WordIds(vocabulary)
+    trim()  # what reading the vocabulary has left
     try:
         yield words
     finally:
@@ -249,7 +250,7 @@ def pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text", vocabula
         with encoder(held.value) as words:
             for column in batches:
                 out = []
-                for a, b in slices(sizes(column), 2 << 20):
+                for a, b in slices(sizes(column), 1 << 20):
                     for ids in documents(*words.encode(column.slice(a, b - a)), end_id):
                         out.append([{"piece": k, "start": s, "length": len(part := ids[s:s + capacity]),
                                      "ids_crc32": zlib.crc32(part.astype("<u4").tobytes())}
