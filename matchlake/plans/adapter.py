@@ -156,12 +156,16 @@ class Silver:
             "  CAST((CAST(floor(o_orderkey / 3) AS BIGINT) + side_no * 2) % 5 AS DOUBLE)))) AS x"
         ).selectExpr("fixture_id", "team_id", "x.c AS type_id", "x.v AS value")
 
-    def match_referees(self) -> DataFrame:
-        raw = self._matches().filter("o_orderkey % 89 <> 0").selectExpr(
+    def referee_calls(self) -> DataFrame:
+        """Referees of matches under the ids that the feed gives them."""
+        return self._matches().filter("o_orderkey % 89 <> 0").selectExpr(
             "o_orderkey AS fixture_id", "starting_at AS _ingested_at",
             "explode(array(named_struct('r', o_custkey % 20 + 1, 't', 6), "
             "named_struct('r', (o_custkey + 7) % 20 + 1, 't', 7))) AS x"
-        ).selectExpr("fixture_id", "_ingested_at", "x.r AS referee_id", "x.t AS type_id")
+        ).selectExpr("fixture_id", "_ingested_at", "x.r AS raw_id", "x.t AS type_id")
+
+    def match_referees(self) -> DataFrame:
+        raw = self.referee_calls().withColumnRenamed("raw_id", "referee_id")
         from ..operators.keys import canonical_id
         named = canonical_id(raw, self.referee_overrides(), "referee_id", "referee_id", "canonical_referee_id")
         return named.selectExpr(
@@ -205,17 +209,25 @@ class Silver:
             f"CASE WHEN l_partkey % 10 <> 3 THEN {detailed_case('l_partkey')} END AS detailed_position_name",
             "starting_at AS _ingested_at")
 
+    @staticmethod
+    def statistic_value() -> str:
+        """Value of the statistic ``x`` (code, place, modulus) of an order line."""
+        rest = "(l_partkey * 3 + x.i * 5 + l_linenumber + CAST(l_quantity AS BIGINT))"
+        return (f"CASE WHEN x.c = {codes.MINUTES_STAT} THEN CAST({EXPR['minutes']} AS DOUBLE) "
+                f"WHEN x.c = {codes.RATING_STAT} THEN CAST({EXPR['rating']} AS DOUBLE) "
+                f"WHEN l_orderkey % 700 = 11 AND x.i = 0 THEN -1.0D ELSE CAST({rest} % x.m AS DOUBLE) END")
+
+    @staticmethod
+    def statistic_shown() -> str:
+        return "x.i < 0 OR (l_orderkey + l_partkey + x.i) % 4 = 0"
+
     def lineup_details(self) -> DataFrame:
         entries = ", ".join(f"named_struct('c', {c}, 'i', {i}, 'm', {m})" for c, i, m in stat_rows())
-        rest = ("(l_partkey * 3 + x.i * 5 + l_linenumber + CAST(l_quantity AS BIGINT))")
-        value = (f"CASE WHEN x.c = {codes.MINUTES_STAT} THEN CAST({EXPR['minutes']} AS DOUBLE) "
-                 f"WHEN x.c = {codes.RATING_STAT} THEN CAST({EXPR['rating']} AS DOUBLE) "
-                 f"WHEN l_orderkey % 700 = 11 AND x.i = 0 THEN -1.0D ELSE CAST({rest} % x.m AS DOUBLE) END")
         fixed = (f"named_struct('c', {codes.MINUTES_STAT}, 'i', -1, 'm', 1), "
                  f"named_struct('c', {codes.RATING_STAT}, 'i', -1, 'm', 1)")
         return (self._lines().selectExpr("*", f"explode(array({fixed}, {entries})) AS x")
-                .filter("x.i < 0 OR (l_orderkey + l_partkey + x.i) % 4 = 0")
-                .selectExpr("l_orderkey AS fixture_id", "l_partkey AS player_id", "x.c AS type_id", f"{value} AS value"))
+                .filter(self.statistic_shown())
+                .selectExpr("l_orderkey AS fixture_id", "l_partkey AS player_id", "x.c AS type_id", f"{self.statistic_value()} AS value"))
 
     def events(self) -> DataFrame:
         return self._team_lines().selectExpr(
@@ -291,9 +303,12 @@ class Silver:
             "left(r_name, 3) AS short_code", "concat('logo-', r_name) AS image_path", "r_regionkey % 2 = 0 AS active")
 
     def referees(self) -> DataFrame:
-        master = self.table("nation").filter("n_nationkey < 17").selectExpr(
+        return self.listed_referees().join(self.referee_overrides().selectExpr("referee_id AS id"), "id", "left_anti")
+
+    def listed_referees(self) -> DataFrame:
+        """The referee list with the ids that stand for somebody else."""
+        rows = self.table("nation").filter("n_nationkey < 17").selectExpr(
             "CAST(n_nationkey + 1 AS BIGINT) AS id", "n_name AS country_name")
-        rows = master.join(self.referee_overrides().selectExpr("referee_id AS id"), "id", "left_anti")
         return rows.selectExpr(
             "id", "concat('Referee ', CAST(id AS STRING)) AS common_name",
             "concat('First ', CAST(id AS STRING)) AS firstname", "concat('Last ', CAST(id AS STRING)) AS lastname",

@@ -201,20 +201,23 @@ def replace_scope(spark: SparkSession, path: str, batch: DataFrame, scope: str,
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], partition: str, moving: bool = False,
-                      notes: Mapping | None = None) -> None:
+                      notes: Mapping | None = None, keys: DataFrame | None = None) -> None:
     """delete+insert that rewrites only the partitions the batch touches, NULL being one of them.
 
     The key must contain, or determine, the partition column, unless rows may be ``moving``: then the partitions that hold a
     key of the batch so far are rewritten too (keys and partition column of the table are read for that). Which partitions
     are touched is a semi join, so nothing is collected; a missing table is created. ``notes`` are stored with the swap.
+    ``keys`` names what is replaced where that is more than the batch has rows for: keys and the partitions they may be in.
     """
-    keys = batch.select(*key).distinct()
-    held, left = None, set()
+    replaced = (batch if keys is None else keys).select(*key).distinct()
+    held, left = None if keys is None else keys.select(F.col(partition).alias("_touched")).distinct(), set()
     if moving and (current := stored(spark, path, batch.schema)) is not None:
-        held = current.select(*key, partition).join(keys, list(key), "left_semi").select(F.col(partition).alias("_touched")).distinct()
+        old = current.select(*key, partition).join(replaced, list(key), "left_semi").select(F.col(partition).alias("_touched")).distinct()
+        held = old if held is None else held.union(old).distinct()
+    if held is not None:
         # no more values than the table has folders; those that lose all their rows are removed
         left = {NULL_FOLDER if r[0] is None else str(r[0]) for r in held.toLocalIterator()}
-    _merge_partitions(spark, path, batch, partition, lambda old: old.join(keys, list(key), "left_anti").select(*old.columns),
+    _merge_partitions(spark, path, batch, partition, lambda old: old.join(replaced, list(key), "left_anti").select(*old.columns),
                       lambda v: v in left, more=held, notes=notes)
 
 

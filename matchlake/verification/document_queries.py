@@ -103,12 +103,17 @@ def standings_sql(model: Model) -> str:
     return f"to_json({_struct([*leaves, ('details', f'CASE WHEN k % 13 <> 0 THEN {details} END')])})"
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Keys dealt to all tasks: a document takes long to make and to parse, and a table may be one file that one task reads."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k")
+
+
 def documents(spark: SparkSession, sf: str, name: str, models=silver.MODELS) -> DataFrame:
     model = models[name]
     table, key = SOURCES.get(name, DEFAULT_SOURCE)
     e = envelope("spark")
     body = standings_sql(model) if name == "standings" else document_sql(model)
-    rows = spark.read.parquet(f"{sf}/{table}.parquet").selectExpr(f"CAST({key} AS BIGINT) AS k").filter("k IS NOT NULL")
+    rows = _dealt(spark.read.parquet(f"{sf}/{table}.parquet").selectExpr(f"CAST({key} AS BIGINT) AS k").filter("k IS NOT NULL"))
     if models is legacy.MODELS:
         # bare arrays, keyed by season and league or by fixture
         array = f"get_json_object({body}, '$.items')"
@@ -191,7 +196,7 @@ def _typed(text: str, key: str, offset: int) -> list[str]:
 def _bare(spark, sf, body: str) -> DataFrame:
     """Orders as documents of the older feed, in envelopes of season, league and fixture."""
     e = envelope("spark")
-    rows = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("CAST(o_orderkey AS BIGINT) AS k")
+    rows = _dealt(spark.read.parquet(f"{sf}/orders.parquet").selectExpr("CAST(o_orderkey AS BIGINT) AS k"))
     return rows.selectExpr("k AS fixture_id", f"{e['@season']} AS season", f"{e['@league_id']} AS league_id",
                            f"{e['_ingested_at']} AS _ingested_at", f"to_json({body}) AS raw_json")
 
