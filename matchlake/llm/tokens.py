@@ -151,15 +151,16 @@ class WordIds:
         found = np.fromiter(map(self.words.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         new = np.flatnonzero(found < 0)
         if len(new):
-            found[new] = np.arange(len(self.words), len(self.words) + len(new))
-            self.words.update(zip(map(words.__getitem__, new.tolist()), found[new].tolist()))
-            self.learn(different.take(pa.array(new)), found[new])
+            fresh = list(map(words.__getitem__, new.tolist()))
+            numbers = range(len(self.words), len(self.words) + len(fresh))
+            found[new] = numbers
+            self.words.update(zip(fresh, numbers))
+            self.learn(different.take(pa.array(new)), fresh, found[new])
         return found
 
-    def learn(self, words: pa.Array, numbers: np.ndarray) -> None:
-        """Ids of new words: from the old generation, from their parts, or from the tokenizer."""
+    def learn(self, words: pa.Array, values: list[bytes], numbers: np.ndarray) -> None:
+        """Ids of new words (as a column and as a list): from the old generation, from their parts, or from the tokenizer."""
         self.bytes += len(words) * 200 + int(pc.sum(pc.binary_length(words)).as_py() or 0)
-        values = words.to_pylist()
         before = np.fromiter(map(self.old_words.get, values, repeat(-1)), dtype=np.int64, count=len(values))
         kept = before >= 0
         self.ids.put(numbers[kept], *self.old_ids.get(before[kept]))
@@ -178,7 +179,7 @@ class WordIds:
         whole[joined] = False
         for which, tokenizer in ((letters & plain, self.letters), (letters & ~plain, self.accents), (whole, self.any)):
             at = np.flatnonzero(which)
-            self.ids.put(numbers[at], *tokenizer.of([values[i] for i in at.tolist()]))
+            self.ids.put(numbers[at], *tokenizer.of(list(map(values.__getitem__, at.tolist()))))
         if joined:
             coded = pa.array(parts, words.type).dictionary_encode()
             counts, flat = self.ids.get(self.numbers(coded.dictionary)[coded.indices.to_numpy()])
