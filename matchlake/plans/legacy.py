@@ -87,11 +87,11 @@ LABELS = {
 def team_statistics(docs: DataFrame) -> DataFrame:
     """Statistics addressed by text label; percent signs are stripped before the cast."""
     rows = (_parsed(docs, TEAM_STATS).select("fixture_id", F.explode("doc").alias("t"))
-            .select("fixture_id", F.col("t.team.id").alias("team_id"), F.inline("t.statistics")))
-    clean = F.replace(F.col("value"), F.lit("%"), F.lit(""))
+            .select("fixture_id", F.col("t.team.id").alias("team_id"), F.inline("t.statistics"))
+            .select("fixture_id", "team_id", "type", F.replace("value", F.lit("%"), F.lit("")).alias("clean")))
     columns = []
     for label, (name, kind, default) in LABELS.items():
-        best = F.max(F.when(F.col("type") == label, clean.try_cast(kind)))
+        best = F.max(F.when(F.col("type") == label, F.col("clean").try_cast(kind)))
         columns.append((best if default is None else F.coalesce(best, F.lit(default))).alias(name))
     return rows.groupBy("fixture_id", "team_id").agg(*columns)
 

@@ -119,7 +119,9 @@ UNION ALL SELECT 'possession', 'error', count(*), CASE WHEN count(*) = 0 THEN 'p
 # archived patterns: documents are built per source row, then unnested ------------------------------------------------
 
 def _docs(spark, sf, name, select, body):
-    return table(spark, sf, name).selectExpr(select, f"to_json({body}) AS raw_json")
+    """Rows as documents, dealt by their first key: the table may be one file, and documents take long to make and to parse."""
+    rows = table(spark, sf, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), select.split()[0])
+    return rows.selectExpr(select, f"to_json({body}) AS raw_json")
 
 
 @query("ar01_four_level_unnest", """
