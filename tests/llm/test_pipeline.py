@@ -50,7 +50,7 @@ def test_run_and_registration(spark, folder):
     path, toxic = folder
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, path).select("doc_id").distinct().count() == 160 - len(toxic)
-    assert sorted(k.split("_")[0] for k in entry.queries() if k.startswith("op")) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(k.split("_")[0] for k in entry.queries() if k.startswith("op")) == sorted(f"op{k}" for k in range(1, 14))
 
 
 def test_empty_table(spark, make_docs, folder):
