@@ -209,3 +209,30 @@ def test_replayed_batch_is_skipped_or_finished(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(journal, "watch", lambda done: None)
     assert once([(3, "c", 3)], 3)
     assert rows(storage.stored(spark, path, make([]).schema)) == [(1, "a", 2), (2, "B", 2), (3, "c", 3)]
+
+
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+
+def test_packed_files_are_not_taken_for_small_tables(spark, tmp_path):
+    """Rows that compress well look small to a plan; a broadcast holds them unpacked in the driver."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    rows_ = session.range(0, 600_000, 1, 2).selectExpr("id", "id + 1 AS sk", "'one name' AS name")
+    rows_.write.parquet(str(tmp_path / "dim"))
+    session.range(100).write.parquet(str(tmp_path / "small"))
+    storage.configure(session)
+    dim, small = session.read.parquet(str(tmp_path / "dim")), session.read.parquet(str(tmp_path / "small"))
+    fact = session.read.parquet(str(tmp_path / "dim")).withColumnRenamed("id", "k").select("k")
+    assert broadcasts(fact.join(dim.select("id", "sk"), fact.k == dim.id, "left")) == 0
+    assert broadcasts(fact.join(small, fact.k == small.id, "left")) == 1
+    assert session.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == str(10 << 20)
+
+
+def test_a_stricter_broadcast_limit_stays(spark):
+    session = spark.newSession()
+    for limit in ("-1", "1000"):
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        storage.configure(session)
+        assert session.conf.get("spark.sql.autoBroadcastJoinThreshold") == limit
