@@ -120,3 +120,22 @@ def test_a_lost_refresh_is_taken_up_again(spark, tmp_path, monkeypatch, step):
     rows = known.silver("venues").collect()
     assert known.load("venues") == [] and len({r.id for r in rows}) == 11 and len(rows) == 21
     assert [r.id for r in rows if str(r._ingested_at).startswith("2025")] != []
+
+
+def test_documents_are_made_after_their_rows_have_met(spark):
+    """What crosses the network are order lines, not line-up entries with their statistics; and it does so once."""
+    docs = Feed(Silver(spark, SF)).documents("fixtures")
+    plan = docs._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression" in line]
+    assert len(dealt) == 1 and not any("lineup_id" in line for line in plan[dealt[0]:]) and any("lineup_id" in line for line in plan[:dealt[0]])
+
+
+def test_parsed_documents_are_not_kept(spark, tmp_path, monkeypatch):
+    from matchlake.plans import lake as module
+    space = tmp_path / "space"
+    monkeypatch.setattr(module, "workspace", lambda spark: str(space))
+    tables = Silver(spark, SF)
+    built = Lake(spark, str(tmp_path / "lake"), tables)
+    built.land("venues", Feed(tables).documents("venues"))
+    assert built.load("venues") == ["venues"] and not (space / "parsed").exists()
+    same(built.silver("venues").select("id", "name"), tables.venues().select("id", "name"))

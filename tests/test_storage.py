@@ -236,3 +236,13 @@ def test_a_stricter_broadcast_limit_stays(spark):
         session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         storage.configure(session)
         assert session.conf.get("spark.sql.autoBroadcastJoinThreshold") == limit
+
+
+def test_rows_stay_where_they_are_made(spark, tmp_path):
+    rows_ = spark.range(0, 1000, 1, 3).selectExpr("id", "CAST(id % 2 AS INT) AS part")
+    for rebalance in (True, False):
+        path = str(tmp_path / f"t{rebalance}")
+        storage.replace_table(spark, path, rows_, ["part"], rebalance=rebalance)
+        assert spark.read.parquet(path).exceptAll(rows_).isEmpty() and spark.read.parquet(path).count() == 1000
+    written = [f.name for f in (tmp_path / "tFalse").rglob("*.parquet")]
+    assert len(written) == 6 and all(".zstd." in n for n in written)
