@@ -139,3 +139,9 @@ def test_parsed_documents_are_not_kept(spark, tmp_path, monkeypatch):
     built.land("venues", Feed(tables).documents("venues"))
     assert built.load("venues") == ["venues"] and not (space / "parsed").exists()
     same(built.silver("venues").select("id", "name"), tables.venues().select("id", "name"))
+
+
+def test_season_progress_does_not_deal_wide_rows(spark):
+    """The running totals are written down first, so the join with them is planned by their size."""
+    plan = warehouse(spark, SF).plan("mart_match_facts")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "cumulative_points" in plan
