@@ -5,11 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from matchlake.plans import facts, marts
 from matchlake.plans.adapter import Silver
 from matchlake.plans.feed import Feed
 from matchlake.plans.lake import DIMENSIONS, FACTS, Lake, StoredSilver, lake
 from matchlake.plans.warehouse import warehouse
 from matchlake.sources import journal
+from matchlake.sources.storage import PLANNED_BROADCAST, write_table
 from matchlake.verification.gold_queries import CUT, Earlier
 
 SF = "/root/testdata/sf0.001"
@@ -145,3 +147,47 @@ def test_season_progress_does_not_deal_wide_rows(spark):
     """The running totals are written down first, so the join with them is planned by their size."""
     plan = warehouse(spark, SF).plan("mart_match_facts")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "cumulative_points" in plan
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_statistics_are_folded_where_their_lines_are(spark):
+    """Order lines cross the network, and nothing that is made of them."""
+    direct = Silver(spark, SF)
+    dealt = exchanges(facts.player_statistics(direct.lineup_details()))
+    assert len(dealt) == 1 and "l_orderkey" in dealt[0] and "REPARTITION_BY_NUM" in dealt[0]
+    dealt = exchanges(warehouse(spark, SF).plan("match_sheet"))
+    assert dealt and not any("fixture_id" in line or "stage_id" in line for line in dealt)
+    assert not any("season_id" in line for line in exchanges(warehouse(spark, SF).plan("dim_match")))
+
+
+def test_lookups_do_not_carry_statistics(spark):
+    plan = warehouse(spark, SF).plan("fct_player_appearances")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    folded = next(i for i, line in enumerate(plan) if "Aggregate [" in line and "AS rating" in line)
+    above, at = 0, depth(plan[folded])
+    for line in reversed(plan[:folded]):
+        if depth(line) < at:
+            above, at = above + ("Join" in line), depth(line)
+    assert above == 1
+
+
+def test_wide_matches_are_not_dealt_by_team(spark):
+    built = warehouse(spark, SF)
+    built.dims()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = exchanges(marts.mart_match_facts(built.get("fct_team_matches"), built.get("fct_player_appearances"), built.dims()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(PLANNED_BROADCAST))
+    assert sum("match_sk" in line and "team_sk" in line for line in dealt) == 1
+
+
+def test_seasons_are_written_side_by_side(spark, tmp_path):
+    """Rows are not sorted by season before they are written, so nothing spills for that; and none is lost."""
+    rows = spark.range(1000).selectExpr("id", "IF(id % 7 = 6, NULL, id % 7) AS season")
+    write_table(rows, str(tmp_path / "t"), ["season"], rebalance=False)
+    same(spark.read.schema("id bigint, season bigint").parquet(str(tmp_path / "t")), rows)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == 16
