@@ -67,6 +67,8 @@ def unresolved(df: DataFrame, checks: Mapping[str, str], keep: Sequence[str]) ->
 
 def negative(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     wide = df.select(*ids, *[F.col(c).cast("double") for c in columns])
+    if columns:  # few rows have one, and only those become as many rows as there are columns
+        wide = wide.filter(reduce(Column.__or__, [F.col(c) < 0 for c in columns]))
     return unpivot_columns(wide, ids, columns).filter("val < 0").select(*ids, "col")
 
 
